@@ -25,17 +25,15 @@ def escape_attribute(value: Column) -> Column:
 
 
 def unescape(value: Column) -> Column:
-    plain = value
     for entity, char in ENTITIES:
-        plain = F.replace(plain, F.lit(entity), F.lit(char))
-    return F.when(F.instr(value, "&") > 0, plain).otherwise(value)
+        value = F.replace(value, F.lit(entity), F.lit(char))
+    return value
 
 
 def attribute(start_tag: Column, name: str) -> Column:
-    """Value of ``NAME="..."`` or ``prefix:name='...'`` in a start tag, else NULL."""
-    pattern = rf"""\s(?:[\w.-]+:{name.lower()}|{name})\s*=\s*(?:"([^"]*)"|'([^']*)')"""
-    found = F.concat(F.regexp_extract(start_tag, pattern, 1), F.regexp_extract(start_tag, pattern, 2))
-    return F.when(start_tag.rlike(pattern), unescape(found))
+    """Value of ``NAME="..."`` or ``prefix:name='...'`` in a start tag; NULL if absent or empty."""
+    pattern = rf"""\s(?:[\w.-]+:{name.lower()}|{name})\s*=\s*(["'])(.*?)\1"""
+    return F.nullif(unescape(F.regexp_extract(start_tag, pattern, 2)), F.lit(""))
 
 
 def without_comments(text: Column) -> Column:

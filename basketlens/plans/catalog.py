@@ -2,13 +2,13 @@
 
 The tables stay DataFrames for the catalog queries.  Building the schema of a
 class needs its few rows on the driver before a plan exists, so `Catalog.model`
-collects the transfer-order rows once, behind a check of their number.
+collects the rows once, behind a check of their number.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -147,6 +147,13 @@ class Model:
         return chain
 
 
+def _few(df: DataFrame) -> list:
+    rows = df.limit(MAX_PLANNING_ROWS + 1).collect()
+    if len(rows) > MAX_PLANNING_ROWS:
+        raise TransferError(f"catalog table has more than {MAX_PLANNING_ROWS} rows; it cannot be planned from")
+    return rows
+
+
 class Catalog:
     def __init__(
         self,
@@ -204,37 +211,37 @@ class Catalog:
 
     @cached_property
     def model(self) -> Model:
-        from basketlens.operators.introspect import transfer_order
-
-        ordered = transfer_order(self).limit(MAX_PLANNING_ROWS + 1).collect()
-        heads = self.classes.orderBy("seq").limit(MAX_PLANNING_ROWS + 1).collect()
-        if max(len(ordered), len(heads)) > MAX_PLANNING_ROWS:
-            raise TransferError(f"catalog has more than {MAX_PLANNING_ROWS} rows; it cannot be planned from")
-        by_class: dict[str, list[PropertyInfo]] = {}
-        for r in sorted(ordered, key=lambda r: (r.class_fqn, r.position)):
-            geometry = None
-            if r.geometry_kind is not None:
-                geometry = GeometryInfo(
-                    r.geometry_kind, r.coordinate_domain_fqn, r.dimension or 2,
-                    float(r.max_overlap_lexical) if r.max_overlap_lexical else None,
-                    tuple(r.line_forms or ()), bool(r.has_custom_line_forms), bool(r.has_line_attributes),
-                )
-            by_class.setdefault(r.class_fqn, []).append(
-                PropertyInfo(
-                    r.property_name, r.owner_fqn, r.kind, r.value_kind, r.type_name, bool(r.is_mandatory),
-                    r.card_min or 0, r.card_max, bool(r.is_transient), bool(r.is_embedded), r.target_class_fqn,
-                    r.min_value, r.max_value, r.max_len, tuple(r.enum_values or ()), geometry,
-                )
-            )
-        return Model(
-            [
-                ClassInfo(
-                    h.model_name, h.topic_name or "", h.class_name, h.class_fqn, h.kind, bool(h.is_abstract),
-                    h.base_class_fqn, tuple(by_class.get(h.class_fqn, ())),
-                )
-                for h in heads
-            ]
-        )
+        """Planning view: the same order as `introspect.transfer_order`, for few rows."""
+        heads = _few(self.classes.orderBy("seq"))
+        shapes = {
+            (r.owner_fqn, r.property_name): GeometryInfo(
+                r.geometry_kind, r.coordinate_domain_fqn, r.dimension or 2,
+                float(r.max_overlap_lexical) if r.max_overlap_lexical else None,
+                tuple(r.line_forms or ()), bool(r.has_custom_line_forms), bool(r.has_line_attributes))
+            for r in _few(self.geometry)
+        }
+        owned: dict[str, list[PropertyInfo]] = {}
+        for r in _few(self.properties.orderBy("owner_fqn", "seq")):
+            owned.setdefault(r.owner_fqn, []).append(PropertyInfo(
+                r.property_name, r.owner_fqn, r.kind, r.value_kind, r.type_name, bool(r.is_mandatory),
+                r.card_min or 0, r.card_max, bool(r.is_transient), bool(r.is_embedded), r.target_class_fqn,
+                r.min_value, r.max_value, r.max_len, tuple(r.enum_values or ()),
+                shapes.get((r.owner_fqn, r.property_name))))
+        bare = Model([
+            ClassInfo(h.model_name, h.topic_name or "", h.class_name, h.class_fqn, h.kind, bool(h.is_abstract),
+                      h.base_class_fqn) for h in heads
+        ])
+
+        def ordered(info: ClassInfo) -> tuple[PropertyInfo, ...]:
+            found: dict[str, PropertyInfo] = {}
+            for owner in reversed(bare.ancestors(info.fqn)):
+                kind = bare.classes[owner].kind if owner in bare.classes else "CLASS"
+                own = owned.get(owner, [])
+                for p in sorted(own, key=lambda p: (p.kind == "ROLE") != (kind == "ASSOCIATION")):
+                    found[p.name] = p
+            return tuple(found.values())
+
+        return Model([replace(c, properties=ordered(c)) for c in bare.classes.values()])
 
     def visible_classes(self) -> DataFrame:
         if not self.builtin_models:

@@ -179,7 +179,10 @@ def objects_of_texts(texts: DataFrame, tags: Tags, strict: bool = True) -> DataF
     """Objects of complete files; stateless, so it runs on a file stream as well."""
     value = without_comments(F.col("value"))
     if strict:
-        value = F.when(F.col("value").rlike(_ROOT_END), value).otherwise(
+        # The end tag is nearly always within the last characters; the whole text
+        # is searched only if it is not.
+        ended = F.right(F.col("value"), F.lit(200)).rlike(_ROOT_END) | F.col("value").rlike(_ROOT_END)
+        value = F.when(ended, value).otherwise(
             F.raise_error(F.concat(F.lit("transfer is truncated or not well formed: "), F.col("file")))
         )
     pieces = _cut_objects(_cut_baskets(texts, value, tags), tags).filter("pos > 0")
@@ -200,11 +203,16 @@ def _cut_baskets(texts: DataFrame, value: Column, tags: Tags) -> DataFrame:
     head = F.regexp_extract("basket", r"^<[^<>]*>", 0)
     is_basket = F.col("basket").rlike(f"^{tags.basket_start}")
     # Splitting with a lookahead never yields an empty first piece, so a text
-    # that begins with a basket start has that basket as piece 0.
+    # that begins with a basket start has that basket as piece 0.  A split is
+    # never empty; the outer generator only keeps the optimizer from testing
+    # that with a filter, which would split every text twice more.
     return (
         texts.select("file", "block", F.split(value, f"(?={tags.basket_start})").alias("cut"))
-        .select("file", "block", F.size("cut").alias("baskets"), F.posexplode("cut").alias("basket_no", "basket"))
+        .select("file", "block", F.size("cut").alias("baskets"), F.posexplode_outer("cut").alias("basket_no", "basket"))
         .select("file", "block", "baskets", "basket_no", "basket", F.when(is_basket, head).alias("basket_tag"))
+        .select(
+            "*", _basket_id(F.col("basket_tag")).alias("bid"),
+            tags.topic(_tag_name(F.col("basket_tag"))).alias("topic"))
     )
 
 
@@ -224,14 +232,14 @@ def _cut_objects(baskets: DataFrame, tags: Tags) -> DataFrame:
     """
     padded = F.concat(F.lit(" "), F.col("basket"))
     cut = baskets.select(
-        "file", "block", "baskets", "basket_no", "basket_tag",
+        "file", "block", "baskets", "basket_no", "basket_tag", "bid", "topic",
         F.split(padded, f"(?={tags.object_start})").alias("cut"),
     ).select("*", F.size("cut").alias("objects"))
     return cut.select(
-        "file", "block", "basket_no", "basket_tag", "baskets", "objects",
-        F.posexplode("cut").alias("pos", "piece"),
+        "file", "block", "basket_no", "basket_tag", "bid", "topic", "baskets", "objects",
+        F.posexplode_outer("cut").alias("pos", "piece"),
     ).select(
-        "file", "block", "basket_no", "basket_tag", "pos", "piece",
+        "file", "block", "basket_no", "basket_tag", "bid", "topic", "pos", "piece",
         ((F.col("basket_no") == F.col("baskets") - 1) & (F.col("pos") == F.col("objects") - 1)).alias("is_last"),
     )
 
@@ -239,9 +247,7 @@ def _cut_objects(baskets: DataFrame, tags: Tags) -> DataFrame:
 def _name_objects(pieces: DataFrame, tags: Tags) -> DataFrame:
     """Cut each piece after the object's own end tag and read its start tag."""
     head = F.regexp_extract("piece", r"^<[^<>]*>", 0)
-    tagged = pieces.select(
-        "*", _tag_name(F.col("piece")).alias("tag"), head.alias("head"),
-        tags.topic(_tag_name(F.col("basket_tag"))).alias("topic"))
+    tagged = pieces.select("*", _tag_name(F.col("piece")).alias("tag"), head.alias("head"))
     end = F.concat(F.lit("</"), F.col("tag"))
     raw = (
         F.when(F.col("head").endswith("/>"), F.col("head"))
@@ -249,7 +255,7 @@ def _name_objects(pieces: DataFrame, tags: Tags) -> DataFrame:
             F.call_function("substring_index", F.col("piece"), end, F.lit(1)), end, F.lit(">")))
     )
     return tagged.select(
-        "file", "block", "basket_no", "pos", "basket_tag", _basket_id(F.col("basket_tag")).alias("bid"), "topic",
+        "file", "block", "basket_no", "pos", "basket_tag", "bid", "topic",
         tags.class_fqn(F.col("tag"), F.col("topic")).alias("class_fqn"),
         attribute(F.col("head"), "TID").alias("tid"),
         F.coalesce(F.upper(attribute(F.col("head"), "OPERATION")), F.lit("INSERT")).alias("operation"),
@@ -404,6 +410,8 @@ def _stitched(edges: DataFrame, tags: Tags, strict: bool) -> DataFrame:
         "file", "tail.block", F.lit(2**31 - 1).alias("basket_no"), F.lit(2**31 - 1).alias("pos"), "tail.basket_tag",
         F.concat(F.col("tail.text"), F.coalesce(rest, F.lit(""))).alias("piece"),
     )
+    whole = whole.select(
+        "*", _basket_id(F.col("basket_tag")).alias("bid"), tags.topic(_tag_name(F.col("basket_tag"))).alias("topic"))
     named = _name_objects(whole, tags)
     if strict:
         return named.withColumn("raw", F.coalesce(F.col("raw"), F.raise_error(

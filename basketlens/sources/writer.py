@@ -21,7 +21,7 @@ from basketlens.plans.catalog import ClassInfo, Model, PropertyInfo
 from basketlens.sources.objects import V23
 from basketlens.sources.parse import MAX_NESTING
 
-TARGET_FILE_BYTES = 16 * 1024 * 1024
+TARGET_FILE_BYTES = 48 * 1024 * 1024
 
 
 def header_text(dialect: str, models: Iterable[str], sender: str = "spark", namespace: str = "urn:transfer") -> str:

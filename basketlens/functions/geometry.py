@@ -111,7 +111,11 @@ def stroke_arc(start: Column, ax: Column, ay: Column, end: Column, tolerance: fl
         F.flatten(F.transform(F.array(circle), along)))
 
 
-def _line_points(line: Column, tolerance: float) -> Column:
+def _line_points(line: Column, tolerance: float | None) -> Column:
+    """Points of a line; without a tolerance only the ends of its segments."""
+    if tolerance is None:
+        return F.transform(_segments(line), lambda s: s["end"])
+
     def bound(segments: Column) -> Column:
         straight = F.transform(segments, lambda s: s["end"])
         stroked = F.flatten(F.transform(
@@ -134,8 +138,13 @@ def _ring_points(ring: Column, tolerance: float) -> Column:
     return F.when(F.size(_elements(ring, "POLYLINE")) > 1, joined).otherwise(points)
 
 
-def decode(raw: Column, kind: str, dimension: int = 2, tolerance: float = DEFAULT_ARC_TOLERANCE) -> Column:
-    """``struct<parts, error>`` of the inner XML of a geometry value."""
+def decode(
+    raw: Column, kind: str, dimension: int = 2, tolerance: float | None = DEFAULT_ARC_TOLERANCE
+) -> Column:
+    """``struct<parts, error>`` of the inner XML of a geometry value.
+
+    ``tolerance`` None leaves arcs as straight lines, which is enough to check.
+    """
     sql_type = SQL_TYPES[kind]
     text = F.regexp_replace(raw, r"<(/?)[\w.-]+:", "<$1")
 
@@ -145,7 +154,7 @@ def decode(raw: Column, kind: str, dimension: int = 2, tolerance: float = DEFAUL
 
     def build(t: Column) -> Column:
         if sql_type in ("POINT", "MULTIPOINT"):
-            return F.transform(_elements(t, "COORD"), lambda c: F.array(_line_points(c, tolerance)))
+            return F.transform(_elements(t, "COORD"), lambda c: F.array(_line_points(c, None)))
         if sql_type in ("LINESTRING", "MULTILINESTRING"):
             return F.transform(_elements(t, "POLYLINE"), lambda p: F.array(_line_points(p, tolerance)))
         return F.transform(_elements(t, "SURFACE|AREA"), rings)

@@ -882,7 +882,8 @@ def geometry_wkb(spark, sf_dir):
 
 
 @query(f"""
-    SELECT 't' || vec_id AS tid, 'POINT Z' AS shape, {_ord(1)} AS x, {_ord(2)} AS y, {_ord(3)} AS z
+    SELECT 't' || vec_id AS tid, 'POINT Z' AS shape, round({_ord(1)}, 9) AS x, round({_ord(2)}, 9) AS y,
+           round({_ord(3)}, 9) AS z
     FROM embeddings""")
 def geometry_text(spark, sf_dir):
     """Well-known text, taken apart again."""
@@ -890,11 +891,5 @@ def geometry_text(spark, sf_dir):
     pattern = rf"^(POINT Z) \({number} {number} {number}\)$"
     part = lambda i: F.regexp_extract("Peak", pattern, i)
     return _shapes(spark, sf_dir, "Peak", form="wkt").select(
-        F.col("_tid").alias("tid"), part(1).alias("shape"), F.round(part(2).cast("double"), 15).alias("x"),
-        F.round(part(3).cast("double"), 15).alias("y"), F.round(part(4).cast("double"), 15).alias("z"))
-
-
-ORACLES["geometry_text"] = f"""
-    SELECT 't' || vec_id AS tid, 'POINT Z' AS shape, round({_ord(1)}, 15) AS x, round({_ord(2)}, 15) AS y,
-           round({_ord(3)}, 15) AS z
-    FROM embeddings"""
+        F.col("_tid").alias("tid"), part(1).alias("shape"), F.round(part(2).cast("double"), 9).alias("x"),
+        F.round(part(3).cast("double"), 9).alias("y"), F.round(part(4).cast("double"), 9).alias("z"))

@@ -230,13 +230,14 @@ def structure_struct(spark, sf_dir):
 
 
 @query("""
-    SELECT 'o' || o_orderkey AS tid, o_orderpriority AS priority, o_orderdate AS placed, 'c' || o_custkey AS customer_ref
+    SELECT 'o' || o_orderkey AS tid, o_orderpriority AS priority, strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS placed,
+           'c' || o_custkey AS customer_ref
     FROM orders""")
 def structure_json(spark, sf_dir):
     rows = scan.read_class(
         spark, shop.folder(spark, sf_dir, "sales"), ORDER, shop.shared_catalog(spark), dialect=V23)
     return rows.select(F.col("xtf_tid").alias("tid"), F.get_json_object("Terms_json", "$.Priority").alias("priority"),
-                       F.col("Placed").cast("timestamp").alias("placed"), "customer_ref")
+                       F.date_format("Placed", "yyyy-MM-dd HH:mm:ss").alias("placed"), "customer_ref")
 
 
 # ----------------------------------------------------- associations and joins
@@ -692,9 +693,6 @@ def quality_enum(spark, sf_dir):
     return _faults(spark, sf_dir, "sales", "ENUMERATION")
 
 
-_NEXT = "l_orderkey, CAST(l_linenumber AS BIGINT)"
-
-
 @query(f"""
     SELECT 'REFERENCE' AS code, '{LINE}' AS class_name, 'next' AS attribute_name, {_LINE_TID} AS tid,
            'l' || l_orderkey || '-' || (l_linenumber + 1) AS raw

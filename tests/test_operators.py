@@ -251,6 +251,17 @@ def test_import_into_tables(spark, town, write, tmp_path):
         importer.import_transfer(spark, path, town, "s", mode="merge")
 
 
+def test_import_modes(spark, town, write):
+    path = write(a=si.v23(si.plan("b", si.OWNERS)))
+    count = lambda: spark.table("town_import.plan__owner").count()
+    assert "town_import.plan__owner" in importer.import_transfer(spark, path, town, "town_import")
+    assert importer.import_transfer(spark, path, town, "town_import") == [] and count() == 2
+    importer.import_transfer(spark, path, town, "town_import", mode="append")
+    assert count() == 4
+    importer.import_transfer(spark, path, town, "town_import", mode="replace")
+    assert count() == 2
+
+
 def test_stream_takes_each_file_once(spark, town, write, tmp_path):
     path = write(a=si.TOWN)
     out, state = str(tmp_path / "out"), str(tmp_path / "state")

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketlens.llm import byte_bpe, exact_dedup, mixing, quality
+from basketlens.llm import byte_bpe, exact_dedup, html_text, jaccard_join, mixing, quality
 from basketlens.llm.common import documents
 
 #: The vocabulary file of the encoder; a path that Spark can read.
@@ -20,6 +20,15 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *exact_dedup.RESULTS)
 
 
+def op3_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url", "html"))
+
+
+def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = jaccard_join.near_duplicates(documents(spark, sf_dir).select("doc_id", "text"), carry=["doc_id"])
+    return found.drop("kept")
+
+
 def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = byte_bpe.read_ranks(spark, RANK_FILE)
     encoded = byte_bpe.encode(documents(spark, sf_dir).select("doc_id", "text"), ranks, public_tokenizers.PATTERN)
@@ -38,6 +47,8 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_exact_dedup": op2_exact_dedup,
+    "op3_html_text": op3_html_text,
+    "op5_jaccard_join": op5_jaccard_join,
     "op7_byte_bpe": op7_byte_bpe,
     "op9_mixing": op9_mixing,
     "op10_quality": op10_quality,

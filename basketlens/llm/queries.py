@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketlens.llm import byte_bpe, exact_dedup, html_text, jaccard_join, mixing, quality
+from basketlens.llm import byte_bpe, exact_dedup, html_text, jaccard_join, language_id, mixing, quality
 from basketlens.llm.common import documents
 
 #: The vocabulary file of the encoder; a path that Spark can read.
@@ -29,6 +29,18 @@ def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.drop("kept")
 
 
+def remainder(modulus: int):
+    """crc32 of the id as text, by modulus: which documents are held out."""
+    return F.crc32(F.col("doc_id").cast("string")) % modulus
+
+
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text", "lang")
+    model = language_id.train(docs, remainder(3) != 1)
+    return language_id.predict(
+        docs.select("doc_id", (remainder(3) == 1).alias("held_out"), "text"), model).drop("text")
+
+
 def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = byte_bpe.read_ranks(spark, RANK_FILE)
     encoded = byte_bpe.encode(documents(spark, sf_dir).select("doc_id", "text"), ranks, public_tokenizers.PATTERN)
@@ -49,6 +61,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_exact_dedup": op2_exact_dedup,
     "op3_html_text": op3_html_text,
     "op5_jaccard_join": op5_jaccard_join,
+    "op6_language_id": op6_language_id,
     "op7_byte_bpe": op7_byte_bpe,
     "op9_mixing": op9_mixing,
     "op10_quality": op10_quality,

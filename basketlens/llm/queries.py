@@ -8,13 +8,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketlens.llm import byte_bpe, exact_dedup, html_text, jaccard_join, language_id, mixing, quality
+from basketlens.llm import byte_bpe, exact_dedup, hmm_lm, html_text, jaccard_join, language_id, mixing, quality
 from basketlens.llm.common import documents
 
 #: The vocabulary file of the encoder; a path that Spark can read.
 RANK_FILE = "file://" + public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
+def remainder(modulus: int):
+    """crc32 of the id as text, by modulus: which documents are held out."""
+    return F.crc32(F.col("doc_id").cast("string")) % modulus
+
+
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = exact_dedup.exact_dedup(documents(spark, sf_dir).select("doc_id", "text"), keep="largest")
     return found.select("doc_id", *exact_dedup.RESULTS)
@@ -24,16 +29,16 @@ def op3_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url", "html"))
 
 
+def op4_hmm_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", (remainder(7) == 2).alias("held_out"), "text")
+    return hmm_lm.score(docs, ~F.col("held_out"), carry=["doc_id", "held_out"])
+
+
 def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = jaccard_join.near_duplicates(documents(spark, sf_dir).select("doc_id", "text"), carry=["doc_id"])
     return found.drop("kept")
 
 
-def remainder(modulus: int):
-    """crc32 of the id as text, by modulus: which documents are held out."""
-    return F.crc32(F.col("doc_id").cast("string")) % modulus
-
-
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text", "lang")
     model = language_id.train(docs, remainder(3) != 1)
@@ -60,6 +65,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_exact_dedup": op2_exact_dedup,
     "op3_html_text": op3_html_text,
+    "op4_hmm_lm": op4_hmm_lm,
     "op5_jaccard_join": op5_jaccard_join,
     "op6_language_id": op6_language_id,
     "op7_byte_bpe": op7_byte_bpe,

@@ -8,7 +8,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketlens.llm import byte_bpe, exact_dedup, hmm_lm, html_text, jaccard_join, language_id, mixing, quality
+from basketlens.llm import (
+    byte_bpe,
+    exact_dedup,
+    hmm_lm,
+    html_text,
+    jaccard_join,
+    language_id,
+    license_scan,
+    mixing,
+    quality,
+    suffix_dedup,
+)
 from basketlens.llm.common import documents
 
 #: The vocabulary file of the encoder; a path that Spark can read.
@@ -20,6 +31,10 @@ def remainder(modulus: int):
     return F.crc32(F.col("doc_id").cast("string")) % modulus
 
 
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(documents(spark, sf_dir).select("doc_id", "text"))
+
+
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = exact_dedup.exact_dedup(documents(spark, sf_dir).select("doc_id", "text"), keep="largest")
     return found.select("doc_id", *exact_dedup.RESULTS)
@@ -53,6 +68,10 @@ def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decoded.select("doc_id", *byte_bpe.digests())
 
 
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.repeated_spans(documents(spark, sf_dir).select("doc_id", "text"))
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(documents(spark, sf_dir).select("doc_id", "text", "source"), carry=["doc_id"])
 
@@ -63,12 +82,14 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_license_scan": op1_license_scan,
     "op2_exact_dedup": op2_exact_dedup,
     "op3_html_text": op3_html_text,
     "op4_hmm_lm": op4_hmm_lm,
     "op5_jaccard_join": op5_jaccard_join,
     "op6_language_id": op6_language_id,
     "op7_byte_bpe": op7_byte_bpe,
+    "op8_suffix_dedup": op8_suffix_dedup,
     "op9_mixing": op9_mixing,
     "op10_quality": op10_quality,
 }

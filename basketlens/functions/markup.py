@@ -24,6 +24,10 @@ def escape_attribute(value: Column) -> Column:
     return value
 
 
+#: What may stand in a start tag: quoted values hold anything, also a closing bracket.
+IN_TAG = r"""(?:[^<>"']++|"[^"]*"|'[^']*')*+"""
+
+
 def unescape(value: Column) -> Column:
     for entity, char in ENTITIES:
         value = F.replace(value, F.lit(entity), F.lit(char))
@@ -32,8 +36,13 @@ def unescape(value: Column) -> Column:
 
 def attribute(start_tag: Column, name: str) -> Column:
     """Value of ``NAME="..."`` or ``prefix:name='...'`` in a start tag; NULL if absent or empty."""
-    pattern = rf"""\s(?:[\w.-]+:{name.lower()}|{name})\s*=\s*(["'])(.*?)\1"""
-    return F.nullif(unescape(F.regexp_extract(start_tag, pattern, 2)), F.lit(""))
+    before = r"""^<[^\s/>]+(?:\s+[\w.:-]+\s*=\s*(?:"[^"]*"|'[^']*'))*?"""
+    own = rf"""\s+(?:[\w.-]+:{name.lower()}|{name})\s*=\s*"""
+    quoted = F.regexp_extract(start_tag, before + own + r"""("[^"]*"|'[^']*')""", 1)
+    plain = F.substring(quoted, F.lit(2), F.length(quoted) - 2)
+    # Numeric references are left to the XML parser.
+    resolved = F.xpath_string(F.concat(F.lit("<a v="), quoted, F.lit("/>")), F.lit("/a/@v"))
+    return F.nullif(F.when(F.contains(quoted, F.lit("&#")), resolved).otherwise(unescape(plain)), F.lit(""))
 
 
 def without_comments(text: Column) -> Column:

@@ -11,11 +11,11 @@ from pyspark.sql import functions as F
 
 from basketlens.plans.catalog import PropertyInfo
 
-INTEGER = r"^-?[0-9]+$"
-DOUBLE = r"^-?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
-DATE = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$"
-TIME = r"^([01][0-9]|2[0-3]):[0-5][0-9]:[0-5][0-9](\.[0-9]+)?$"
-DATETIME = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}T([01][0-9]|2[0-3]):[0-5][0-9]:[0-5][0-9](\.[0-9]+)?$"
+INTEGER = r"^-?[0-9]+\z"
+DOUBLE = r"^-?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\z"
+DATE = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}\z"
+TIME = r"^([01][0-9]|2[0-3]):[0-5][0-9]:[0-5][0-9](\.[0-9]+)?\z"
+DATETIME = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}T([01][0-9]|2[0-3]):[0-5][0-9]:[0-5][0-9](\.[0-9]+)?\z"
 
 
 def boolean(text: Column) -> Column:

@@ -26,7 +26,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from basketlens.errors import TransferError
-from basketlens.functions.markup import attribute, without_comments
+from basketlens.functions.markup import IN_TAG, attribute, without_comments
 from basketlens.plans.catalog import Model
 
 WHOLE_FILE_BYTES = 64 * 1024 * 1024
@@ -38,6 +38,11 @@ V24 = "2.4"
 _ROOT_END = r"(?s)</(?:[\w.-]+:transfer|TRANSFER)\s*>\s*$"
 
 _NAME = r"[A-Za-z_]\w*"
+#: Up to an attribute of a start tag; whole quoted values are passed over.
+_UP_TO = r"""(?=\s(?:[^<>"']|"[^"]*"|'[^']*')*?"""
+_HEAD = f"^<{IN_TAG}>"
+#: An element from its start tag to the last end tag of just its name.
+_ELEMENT = r"(?s)^(<([\w.:-]+)(?=[\s/>]).*</\2\s*>)"
 
 
 def sniff_dialect(spark: SparkSession, path: str) -> str:
@@ -78,14 +83,14 @@ class Tags:
     @property
     def basket_start(self) -> str:
         if self.dialect == V23:
-            return rf"<{_NAME}\.{_NAME}(?=\s[^<>]*?\bBID\s*=)"
-        return rf"<[\w.-]+:{_NAME}(?=\s[^<>]*?:bid\s*=)(?!\s[^<>]*?:ref\s*=)"
+            return rf"<{_NAME}\.{_NAME}{_UP_TO}\bBID\s*=)"
+        return rf"<[\w.-]+:{_NAME}{_UP_TO}:bid\s*=)(?!{_UP_TO[3:]}:ref\s*=)"
 
     @property
     def object_start(self) -> str:
         """Known class tags, and unknown ones that carry an object id."""
         if self.dialect == V23:
-            known, unknown = list(self.by_tag), rf"{_NAME}\.{_NAME}\.{_NAME}(?=\s[^<>]*?\bTID\s*=)"
+            known, unknown = list(self.by_tag), rf"{_NAME}\.{_NAME}\.{_NAME}{_UP_TO}\bTID\s*=)"
         else:
             # A class without object id is told by its tag alone, which must
             # then not be the tag of a property or structure too.
@@ -93,7 +98,7 @@ class Tags:
                 t for t in self.by_tag
                 if t.rpartition(":")[2] not in self._property_names | self._structures
             ]
-            unknown = rf"[\w.-]+:{_NAME}(?=\s[^<>]*?:tid\s*=)"
+            unknown = rf"[\w.-]+:{_NAME}{_UP_TO}:tid\s*=)"
         names = "|".join(re.escape(t) for t in sorted(known, key=len, reverse=True))
         return rf"<(?:(?:{names})(?=[\s/>])|{unknown})" if names else rf"<{unknown}"
 
@@ -200,7 +205,7 @@ def objects_of_texts(texts: DataFrame, tags: Tags, strict: bool = True) -> DataF
 
 def _cut_baskets(texts: DataFrame, value: Column, tags: Tags) -> DataFrame:
     """One row per basket; number 0 is the text before the first basket start."""
-    head = F.regexp_extract("basket", r"^<[^<>]*>", 0)
+    head = F.regexp_extract("basket", _HEAD, 0)
     is_basket = F.col("basket").rlike(f"^{tags.basket_start}")
     # Splitting with a lookahead never yields an empty first piece, so a text
     # that begins with a basket start has that basket as piece 0.  A split is
@@ -246,14 +251,10 @@ def _cut_objects(baskets: DataFrame, tags: Tags) -> DataFrame:
 
 def _name_objects(pieces: DataFrame, tags: Tags) -> DataFrame:
     """Cut each piece after the object's own end tag and read its start tag."""
-    head = F.regexp_extract("piece", r"^<[^<>]*>", 0)
+    head = F.regexp_extract("piece", _HEAD, 0)
     tagged = pieces.select("*", _tag_name(F.col("piece")).alias("tag"), head.alias("head"))
-    end = F.concat(F.lit("</"), F.col("tag"))
-    raw = (
-        F.when(F.col("head").endswith("/>"), F.col("head"))
-        .when(F.contains("piece", end), F.concat(
-            F.call_function("substring_index", F.col("piece"), end, F.lit(1)), end, F.lit(">")))
-    )
+    raw = F.when(F.col("head").endswith("/>"), F.col("head")).otherwise(
+        F.nullif(F.regexp_extract("piece", _ELEMENT, 1), F.lit("")))
     return tagged.select(
         "file", "block", "basket_no", "pos", "basket_tag", "bid", "topic",
         tags.class_fqn(F.col("tag"), F.col("topic")).alias("class_fqn"),
@@ -364,8 +365,8 @@ def _range_edges(baskets: DataFrame, tags: Tags) -> DataFrame:
         F.element_at("cut", -1).alias("last_piece"),
     )
     closed = (
-        F.regexp_extract("last_piece", r"^<[^<>]*>", 0).endswith("/>")
-        | F.contains("last_piece", F.concat(F.lit("</"), _tag_name(F.col("last_piece"))))
+        F.regexp_extract("last_piece", _HEAD, 0).endswith("/>")
+        | F.col("last_piece").rlike(_ELEMENT)
     )
     return (
         pieces.withColumn("open_tail", F.when((F.col("n") > 1) & ~closed, F.col("last_piece")))

@@ -38,16 +38,16 @@ def town_catalog(spark):
         prop(f"{M}.Address", "Zip", 2, "Integer", lo=1000, hi=9999),
         prop(f"{M}.Label", "Text", 1),
         prop(f"{T}.Thing", "Name", 1, mandatory=True, cmin=1, max_len=10),
-        prop(h, "Heated", 1, "Boolean"),
-        prop(h, "Floors", 2, "Integer", lo=0, hi=100),
-        prop(h, "Height", 3, "Double", lo=0.0, hi=100.0),
+        prop(h, "State", 1, "Enumeration", enum=["planned", "built"]),
+        prop(h, "Labels", 2, "Structure", cmax=None, target=f"{M}.Label"),
+        prop(h, "Point", 3, "Geometry"),
         prop(h, "Built", 4, "Date"),
-        prop(h, "State", 5, "Enumeration", enum=["planned", "built"]),
-        prop(h, "Place", 6, "Structure", target=f"{M}.Address"),
-        prop(h, "Labels", 7, "Structure", cmax=None, target=f"{M}.Label"),
+        prop(h, "Height", 5, "Double", lo=0.0, hi=100.0),
+        prop(h, "holder", 6, "Reference", kind="ROLE", target=o),
+        prop(h, "Place", 7, "Structure", target=f"{M}.Address"),
         prop(h, "Line", 8, "Geometry"),
-        prop(h, "Point", 9, "Geometry"),
-        prop(h, "holder", 10, "Reference", kind="ROLE", target=o),
+        prop(h, "Floors", 9, "Integer", lo=0, hi=100),
+        prop(h, "Heated", 10, "Boolean"),
         prop(o, "Name", 1, mandatory=True, cmin=1),
         prop(w, "Share", 1, "Integer", lo=0, hi=100),
         prop(w, "owner", 2, "Reference", kind="ROLE", target=o, mandatory=True, cmin=1),
@@ -92,14 +92,14 @@ def obj(name, tid=None, body="", operation=None, topic=T):
     return f"<{topic}.{name}{attrs}>{body}</{topic}.{name}>"
 
 
-HOUSE1 = obj("House", "h1", """<Name>mill &amp; barn</Name><Heated>true</Heated><Floors>42</Floors>
-<Height>3.5</Height><Built>2020-02-29</Built><State>built</State>
+HOUSE1 = obj("House", "h1", """<Name>mill &amp; barn</Name><State>built</State>
+<Labels><Town.Label><Text>north gate</Text></Town.Label></Labels><Labels><Town.Label><Text>listed</Text></Town.Label></Labels>
+<Point><COORD><C1>612.5</C1><C2>88.25</C2></COORD></Point><Built>2020-02-29</Built><Height>11.75</Height><holder REF="o1"/>
 <Place><Town.Address><Street>Lane &lt;1&gt;</Street><Zip>4500</Zip></Town.Address></Place>
-<Labels><Town.Label><Text>one</Text></Town.Label></Labels><Labels><Town.Label><Text>two</Text></Town.Label></Labels>
-<Line><POLYLINE><COORD><C1>10</C1><C2>20</C2></COORD><COORD><C1>30</C1><C2>40</C2></COORD></POLYLINE></Line>
-<Point><COORD><C1>10</C1><C2>20</C2></COORD></Point><holder REF="o1"/>""")
-HOUSE2 = obj("House", "h2", "<Name></Name><Heated>false</Heated><Floors>7</Floors>"
-             "<Labels><Town.Label><Text>a</Text></Town.Label><Town.Label/></Labels>")
+<Line><POLYLINE><COORD><C1>612.5</C1><C2>88.25</C2></COORD><COORD><C1>615</C1><C2>91</C2></COORD><COORD><C1>619.5</C1>
+<C2>90.75</C2></COORD></POLYLINE></Line><Floors>3</Floors><Heated>false</Heated>""")
+HOUSE2 = obj("House", "h2", "<Name></Name>"
+             "<Labels><Town.Label><Text>a</Text></Town.Label><Town.Label/></Labels><Floors>16</Floors><Heated>true</Heated>")
 HOUSE3 = f'<{T}.House TID="h3" OPERATION="DELETE"/>'
 OWNERS = obj("Owner", "o1", "<Name>Ann</Name>") + obj("Owner", "o2", "<Name>Bo</Name>")
 LINKS = (obj("Owns", body='<owner REF="o1"/><house REF="h1"/><Share>60</Share>')
@@ -115,11 +115,11 @@ TOWN24 = """<?xml version="1.0" encoding="UTF-8"?>
 <ili:headersection><ili:models><ili:model>Town</ili:model></ili:models></ili:headersection>
 <ili:datasection>
 <Town:Plan ili:bid="b24">
-<Town:House ili:tid="h24"><Town:Name>tower</Town:Name><Town:Heated>true</Town:Heated><Town:Floors>24</Town:Floors>
-<Town:Height>24.5</Town:Height><Town:Place><Town:Address><Town:Street>Up</Town:Street></Town:Address></Town:Place>
+<Town:House ili:tid="h24"><Town:Name>tower</Town:Name><Town:State>planned</Town:State>
 <Town:Labels><Town:Label><Town:Text>x</Town:Text></Town:Label><Town:Label><Town:Text>y</Town:Text></Town:Label></Town:Labels>
-<Town:Point><geom:coord><geom:c1>1</geom:c1><geom:c2>2</geom:c2></geom:coord></Town:Point>
-<Town:holder ili:ref="o24"/></Town:House>
+<Town:Point><geom:coord><geom:c1>5.5</geom:c1><geom:c2>-3</geom:c2></geom:coord></Town:Point><Town:Height>61.2</Town:Height>
+<Town:holder ili:ref="o24"/><Town:Place><Town:Address><Town:Street>Up</Town:Street></Town:Address></Town:Place>
+<Town:Floors>19</Town:Floors></Town:House>
 <Town:Owner ili:tid="o24"><Town:Name>Cy</Town:Name></Town:Owner>
 <Town:Owns><Town:owner ili:ref="o24" ili:bid="far"/><Town:house ili:ref="h24"/><Town:Share>5</Town:Share></Town:Owns>
 </Town:Plan>

@@ -46,15 +46,15 @@ def test_kinds_as_text(spark, town, write):
     body = (f"<Lines><MULTIPOLYLINE>{line((0, 0), (1, 1))}{line((2, 2), (3, 3))}</MULTIPOLYLINE></Lines>"
             f"<Spots><MULTICOORD>{coord(1, 2)}{coord(3, 4)}</MULTICOORD></Spots><Face>{surface(SQUARE, HOLE)}</Face>"
             f"<Faces><MULTISURFACE>{surface(SQUARE)}{surface([(x + 9, y) for x, y in SQUARE])}</MULTISURFACE></Faces>"
-            f"<Peak>{coord('2605000.000', '1203000.000', '450.5')}</Peak>")
+            f"<Peak>{coord('-71.5', '42.125', '8848.86')}</Peak>")
     row = shapes(spark, town, write, body, "wkt").first()
     assert row.Lines == "MULTILINESTRING ((0 0, 1 1), (2 2, 3 3))"
     assert row.Spots == "MULTIPOINT (1 2, 3 4)"
     assert row.Face == "POLYGON ((0 0, 4 0, 4 4, 0 4, 0 0), (1 1, 2 1, 2 2, 1 2, 1 1))"
     assert row.Faces.startswith("MULTIPOLYGON (((0 0, 4 0") and row.Faces.count("((") == 2
-    assert row.Peak == "POINT Z (2605000 1203000 450.5)"
+    assert row.Peak == "POINT Z (-71.5 42.125 8848.86)"
     wkb = shapes(spark, town, write, body, "wkb").first()
-    assert bytes(wkb.Peak) == struct.pack("<BI3d", 1, 1001, 2605000.0, 1203000.0, 450.5)
+    assert bytes(wkb.Peak) == struct.pack("<BI3d", 1, 1001, -71.5, 42.125, 8848.86)
     assert bytes(wkb.Face)[:13] == struct.pack("<BIII", 1, 3, 2, 5)
     assert bytes(wkb.Spots) == struct.pack("<BII", 1, 4, 2) + b"".join(
         struct.pack("<BI2d", 1, 1, x, y) for x, y in ((1, 2), (3, 4)))
@@ -72,18 +72,30 @@ def test_bow_tie_is_not_valid(spark, town, write):
     assert df.select(geo.is_valid(F.col("Face"), "SURFACE")).first()[0] is False
 
 
+def on_circle(degrees, x=700, y=300, radius=20):
+    return x + radius * math.cos(math.radians(degrees)), y + radius * math.sin(math.radians(degrees))
+
+
 def test_arc_within_tolerance(spark, town, write):
-    arc = ("<ARC><C1>2605100.000</C1><C2>1203000.000</C2><A1>2605050.000</A1><A2>1203050.000</A2></ARC>")
-    body = f"<Curve><POLYLINE>{coord(2605000, 1203000)}{arc}{coord(2605200, 1203000)}</POLYLINE></Curve>"
-    points = shapes(spark, town, write, body, columns=["Curve"]).first().Curve[0][0]
-    assert len(points) == 251
-    for p in points[1:-2]:
-        assert math.hypot(p.x - 2605050, p.y - 1203000) == pytest.approx(50, abs=1e-6)
-    assert max(p.y for p in points) == pytest.approx(1203050, abs=2e-3)
-    coarse = shapes(spark, town, write, body, arc_tolerance_override=5.0, columns=["Curve"]).first().Curve[0][0]
-    assert 4 < len(coarse) < 10
-    clockwise = body.replace("<A2>1203050", "<A2>1202950")
-    assert min(p.y for p in shapes(spark, town, write, clockwise, columns=["Curve"]).first().Curve[0][0]) < 1202951
+    """A third of a circle: the chord of one stroke is at most the tolerance (0.001 in the catalog) off."""
+    def curve(through, last=(640, 300)):
+        first, end = on_circle(0), on_circle(120)
+        arc = "<ARC><C1>%r</C1><C2>%r</C2><A1>%r</A1><A2>%r</A2></ARC>" % (*end, *on_circle(through))
+        return f"<Curve><POLYLINE>{coord(*first)}{arc}{coord(*last)}</POLYLINE></Curve>"
+
+    def strokes(sweep, tolerance):
+        return math.ceil(math.radians(sweep) / (2 * math.acos(1 - tolerance / 20)))
+
+    points = shapes(spark, town, write, curve(50), columns=["Curve"]).first().Curve[0][0]
+    assert len(points) == strokes(120, 0.001) + 2
+    for p in points[:-1]:
+        assert math.hypot(p.x - 700, p.y - 300) == pytest.approx(20, abs=1e-6)
+    assert (points[-1].x, points[-1].y) == (640, 300)
+    coarse = shapes(spark, town, write, curve(50), arc_tolerance_override=2.0, columns=["Curve"]).first().Curve[0][0]
+    assert len(coarse) == strokes(120, 2.0) + 2
+    # The other way round the circle.
+    long = shapes(spark, town, write, curve(250), columns=["Curve"]).first().Curve[0][0]
+    assert len(long) == strokes(240, 0.001) + 2 and min(p.y for p in long) < 281
 
 
 @pytest.mark.parametrize("body, message", [
@@ -142,6 +154,32 @@ def test_one_edit(spark, town, write, tmp_path):
             ed.apply_edits(spark, path, bad, edits, town)
 
 
+def test_output_among_the_inputs_is_refused(spark, town, write, tmp_path):
+    for name in ("p0", "p1"):
+        (tmp_path / "g" / name).mkdir(parents=True)
+        (tmp_path / "g" / name / "a.xml").write_text(si.TOWN, encoding="utf-8")
+    with pytest.raises(TransferError, match="different files"):
+        ed.apply_edits(spark, f"{tmp_path}/g/*", f"{tmp_path}/g/p0", edit_table(spark, (HOUSE, "h1", "Name", "x")), town,
+                       overwrite=True)
+    assert (tmp_path / "g" / "p0" / "a.xml").read_text(encoding="utf-8") == si.TOWN
+
+
+def test_object_of_a_basket_without_id(spark, town, write, tmp_path):
+    text = si.v23('<Town.Plan BID="">' + si.HOUSE2 + "</Town.Plan>")
+    out = str(tmp_path / "out")
+    audit = ed.apply_edits(spark, write(a=text), out, edit_table(spark, (HOUSE, "h2", "Floors", "5")), town)
+    assert [r.status for r in audit.collect()] == ["UPDATED"]
+    assert scan.scan_class(spark, out, HOUSE, town).first().Floors == 5
+    twice = edit_table(spark, (HOUSE, "h2", "Floors", "5"), (HOUSE, "h2", "Floors", "6", ""))
+    assert [r.status for r in ed.audit_edits(spark, write(b=text), twice, town).collect()] == ["REJECTED"] * 2
+
+
+def test_very_many_paths(spark, town, write):
+    edits = edit_table(spark, (HOUSE, "h1", "Name", "fine"), *((HOUSE, "h1", f"Nothing{i}", "v") for i in range(1500)))
+    counts = {r.status: r["count"] for r in ed.audit_edits(spark, write(a=si.TOWN), edits, town).groupBy("status").count().collect()}
+    assert counts == {"UPDATED": 1, "REJECTED": 1500}
+
+
 def test_second_dialect_edit_keeps_the_rest(spark, town, write, tmp_path):
     path, out = write(a=si.TOWN24), str(tmp_path / "out")
     ed.apply_edits(spark, path, out, edit_table(spark, (HOUSE, "h24", "Name", "n2", "b24", "tower")), town)

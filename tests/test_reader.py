@@ -127,3 +127,19 @@ def test_large_file_route_second_dialect(spark, town, write):
 def test_pruned_reader_keeps_python_out(spark, town, write):
     plan = ob.read_objects(spark, write(a=si.TOWN), town.model).filter(F.col("tid") == "h1")
     assert "Python" not in plan._jdf.queryExecution().toString()
+
+
+def test_names_that_begin_alike_and_quoted_brackets(spark, town, write):
+    """An object ends at its own end tag; attribute values may hold brackets, other attributes and numeric references."""
+    body = ('<Town.Plan NOTE="a>b BID=\'no\'" BID="b&#45;1">'
+            '<Town.Plan.Owner NOTE="c>d" TID="o&#x2D;1"><Name>x</Name><OwnerNo>7</OwnerNo></Town.Plan.Owner>'
+            "<Town.Plan.Owns><Town.Plan.OwnsMore>y</Town.Plan.OwnsMore><Share>1</Share></Town.Plan.Owns></Town.Plan>")
+    rows = ob.read_objects(spark, write(a=si.v23(body)), town.model, "2.3").collect()
+    assert [(r.bid, r.tid) for r in rows] == [("b-1", "o-1"), ("b-1", None)]
+    assert rows[0].raw.endswith("</OwnerNo></Town.Plan.Owner>") and rows[1].raw.endswith("<Share>1</Share></Town.Plan.Owns>")
+
+
+def test_second_dialect_names_that_begin_alike(spark, town, write):
+    text = si.TOWN24.replace("<Town:Name>Cy</Town:Name>", "<Town:OwnerNo>4</Town:OwnerNo><Town:Name>Cy</Town:Name>")
+    raw = [r.raw for r in ob.read_objects(spark, write(a=text), town.model).filter("tid = 'o24'").collect()]
+    assert all(r.endswith("</Town:Owner>") for r in raw) and any("Cy" in r for r in raw)

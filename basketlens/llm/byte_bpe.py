@@ -15,9 +15,11 @@ from __future__ import annotations
 import base64
 import functools
 import io
+from array import array
 from collections.abc import Iterator
 
 import ahocorasick
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
@@ -25,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 #: Pieces, pairs and token facts remembered by each Python worker.
-MEMORY = 1 << 19
+MEMORY = 3 << 17
 _NOTHING: dict[bytes, bool] = {}
 
 
@@ -47,8 +49,9 @@ class Encoder:
         for token in self.ranks:
             self.automaton.add_word(token.decode("latin-1"), len(token))
         self.automaton.make_automaton()
-        self.pieces: dict[str, tuple[int, ...]] = {}
-        self.older_pieces: dict[str, tuple[int, ...]] = {}
+        # Ids as 32-bit numbers in bytes: small, and nothing for Python's collector to look through.
+        self.pieces: dict[str, bytes] = {}
+        self.older_pieces: dict[str, bytes] = {}
         self.follows: dict[bytes, dict[bytes, bool]] = {}
         self.n_follows = 0
         self.shorter: dict[bytes, bytes] = {}
@@ -96,10 +99,10 @@ class Encoder:
                 longest[start] = length
         return longest
 
-    def encode_piece(self, piece: str) -> tuple[int, ...]:
+    def encode_piece(self, piece: str) -> bytes:
         data = piece.encode("utf-8")
         if data in self.ranks:
-            return (self.ranks[data],)
+            return array("i", (self.ranks[data],)).tobytes()
         longest, n, follows = self.longest_tokens(data), len(data), self.follows
         dead = bytearray(n + 1)  # places from which no sequence leads to the end
         tokens: list[bytes] = []
@@ -127,10 +130,11 @@ class Encoder:
                 place -= len(token)
                 before = tokens[-1] if tokens else b""
                 token = self.next_shorter(token)
-        return tuple(map(self.ranks.__getitem__, tokens))
+        return array("i", map(self.ranks.__getitem__, tokens)).tobytes()
 
-    def encode(self, text: str) -> list[int]:
-        ids: list[int] = []
+    def encode_packed(self, text: str) -> bytes:
+        """The ids of a text as 32-bit numbers."""
+        out = []
         pieces = self.pieces
         for piece in self.split(text):
             found = pieces.get(piece)
@@ -141,8 +145,11 @@ class Encoder:
                         self.older_pieces, self.pieces = pieces, {}
                         pieces = self.pieces
                     pieces[piece] = found
-            ids += found
-        return ids
+            out.append(found)
+        return b"".join(out)
+
+    def encode(self, text: str) -> list[int]:
+        return array("i", self.encode_packed(text)).tolist()
 
     def decode(self, ids: list[int]) -> bytes:
         return b"".join(map(self.bytes_of.__getitem__, ids))
@@ -168,24 +175,29 @@ def _with(df: DataFrame, column: str, kind: T.DataType, of: str, function) -> Da
     return df.mapInArrow(batches, schema)
 
 
-#: Rows are sent on in lots of about so many ids.
-LOT = 1 << 20
+#: Rows are sent on in lots of about so many bytes.
+LOT = 4 << 20
 
 
-def _lots(batch, kept, values, column, kind, weigh):
-    """Record batches of bounded size from values that are made one by one."""
+def _lots(batch, kept, values, column, pack):
+    """Record batches of bounded size from byte strings that are made one by one."""
     start, lot, weight = 0, [], 0
     for i, value in enumerate(values):
         lot.append(value)
-        weight += weigh(value)
+        weight += len(value)
         if weight >= LOT or i == batch.num_rows - 1:
             rows = batch.slice(start, len(lot))
             yield pa.RecordBatch.from_arrays(
-                [rows.column(k) for k in kept] + [pa.array(lot, type=kind)],
-                names=[batch.schema.names[k] for k in kept] + [column])
+                [rows.column(k) for k in kept] + [pack(lot)], names=[batch.schema.names[k] for k in kept] + [column])
             start, lot, weight = i + 1, [], 0
 
 
+def _id_lists(packed: list[bytes]) -> pa.Array:
+    offsets = np.concatenate(([0], np.cumsum([len(p) // 4 for p in packed], dtype=np.int64)))
+    values = pa.array(np.frombuffer(b"".join(packed), dtype=np.int32))
+    return pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), values)
+
+
 def encode(docs: DataFrame, rank_file: bytes, pattern: str, text_col: str = "text", ids_col: str = "ids") -> DataFrame:
     """``docs`` with ``ids``, the token ids of each text, without special tokens.
 
@@ -196,8 +208,8 @@ def encode(docs: DataFrame, rank_file: bytes, pattern: str, text_col: str = "tex
 
     def run(batch, texts, kept):
         encoder = _encoder(shared.value, pattern)
-        ids = (encoder.encode(t.as_py() or "") for t in texts)
-        return _lots(batch, kept, ids, ids_col, pa.list_(pa.int32()), len)
+        ids = (encoder.encode_packed(t.as_py() or "") for t in texts)
+        return _lots(batch, kept, ids, ids_col, _id_lists)
 
     return _with(docs, ids_col, T.ArrayType(T.IntegerType()), text_col, run)
 
@@ -209,7 +221,7 @@ def decode(docs: DataFrame, rank_file: bytes, pattern: str, ids_col: str = "ids"
     def run(batch, ids, kept):
         encoder = _encoder(shared.value, pattern)
         data = (encoder.decode(i.values.to_pylist() if i.is_valid else []) for i in ids)
-        return _lots(batch, kept, data, data_col, pa.binary(), lambda d: len(d) // 4)
+        return _lots(batch, kept, data, data_col, lambda lot: pa.array(lot, type=pa.binary()))
 
     return _with(docs, data_col, T.BinaryType(), ids_col, run)
 

@@ -14,36 +14,41 @@ size band; a text near a band's lower end also signs in the band below.  A text
 more filled chunks than D signs in a bucket for such texts.
 
 **Comparison.**  No pairs are written.  Each text joins the largest bucket it
-is in (its hub) and visits the larger hubs that it meets elsewhere.  The texts of
+is in (its hub) and visits the hubs after its own that it meets elsewhere.  The texts of
 a hub are cut into blocks by size class and hash, and pairs of
-blocks are compared in separate tasks by counting common shingles, which
-returns per text its links and one spanning link.  So a hub with most of the
-texts is spread over many tasks, and every possible pair is compared once.
+blocks meet in separate tasks, so a hub with most of the texts is spread over many tasks and every
+possible pair is compared once.  A meeting first compares dense bit sketches, whose Hamming distance is a
+lower bound of the symmetric difference too; texts that are within D of another there meet again with
+their whole sets, which returns per text its links and one spanning link.
 
-Copies (equal word sequences) are one text throughout.
+Copies (equal word sequences) are one text throughout, known by a 64-bit digest of their words; for n different texts the odds that
+two digests agree are n * n / 2^65.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from basketlens.llm.common import lower_ascii, row_struct, text_of, unpacked, words_of
+from basketlens.llm.common import row_struct, text_of, unpacked
 from basketlens.llm.components import components
-from basketlens.llm.text_arrays import LOWER, chunks, mix64, shingle_set, words
+from basketlens.llm.text_arrays import LOWER, Chunk, chunks, mix64, shingle_set, words
 from basketlens.sources.session import cut_lineage
 
 RESULTS = ("n_shingles", "component_id", "n_links", "kept")
 #: Sizes of a band lie within this factor.
 BAND = 4
-#: A chunk hash seen so often among a batch's texts is reported; the commonest go last in the order.
+#: A chunk hash seen so often among a few megabytes of texts is reported; the commonest go last in the order.
 REPORT, ORDERED = 3, 1 << 17
 #: Shingles of a block of texts that are compared together.
 BLOCK = 1 << 17
+#: Bits that texts are looked up in before they are read again; more texts only mean that more are read in vain.
+MARKS = 1 << 24
 
 
 def band_of(n: int) -> int:
@@ -64,6 +69,13 @@ def chunk_hashes(shingles: np.ndarray, band: int) -> np.ndarray:
     return mix64(parity[filled] + mix64(place[filled] * np.uint64(64) + np.uint64(band + 1)))
 
 
+def bit_sketch(shingles: np.ndarray) -> bytes:
+    """Parity of the shingles at each of a number of places that is a power of two, at least twice their number."""
+    size = 2 * BAND ** (band_of(len(shingles)) + 1)
+    parity = np.bincount(((shingles >> np.uint64(24)) % np.uint64(size)).astype(np.int64), minlength=size) & 1
+    return np.packbits(parity.astype(np.uint8)).tobytes()
+
+
 def sketches(shingles: np.ndarray, percent: int) -> list[tuple[int, int, np.ndarray]]:
     """Band, bound and chunks of each band that a text signs in."""
     n = len(shingles)
@@ -91,70 +103,144 @@ def _signatures(shingles: np.ndarray, percent: int, common: np.ndarray, weight:
     return np.concatenate(out) if out else shingles[:0]
 
 
-def _common_chunks(docs: DataFrame, percent: int, width: int) -> tuple[np.ndarray, np.ndarray]:
-    """The commonest chunk hashes and their counts, at most ``ORDERED`` of them.
+def _digest(chunk: Chunk, i: int) -> int:
+    """64 bits of a digest of the word sequence."""
+    data = LOWER[chunk.data[chunk.offsets[i]:chunk.offsets[i + 1]]].tobytes()
+    return int.from_bytes(hashlib.blake2b(b" ".join(data.split()), digest_size=8).digest(), "little", signed=True)
 
-    They only set the order in which chunks are signed; any order finds every pair.
+
+def _survey(docs: DataFrame, percent: int, width: int) -> DataFrame:
+    """A row ``row_key, id, cls, n`` per row of ``docs``, and rows ``chunk, times`` of chunk hashes that come often.
+
+    Both come from one pass; the other columns of a row are null.
     """
+    names = ["row_key", "id", "cls", "n", "chunk", "times"]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             held: list[np.ndarray] = []
-            for chunk in chunks(batch.column(1), 4 << 20):
+            weight = 0
+            for chunk in chunks(batch.column(2)):
                 found = words(chunk, LOWER)
+                classes, sizes = [], []
                 for i in range(len(chunk)):
-                    for _, _, hashes in sketches(shingle_set(found.hashes[found.of(i)], width), percent)[:1]:
-                        held.append(hashes)
-                if held:
+                    shingles = shingle_set(found.hashes[found.of(i)], width)
+                    classes.append(_digest(chunk, i))
+                    sizes.append(len(shingles))
+                    held += [hashes for _, _, hashes in sketches(shingles, percent)[:1]]
+                none = pa.nulls(len(chunk), pa.int64())
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(k).slice(chunk.first, len(chunk)) for k in (0, 1)]
+                    + [pa.array(classes, type=pa.int64()), pa.array(sizes, type=pa.int64()), none, none], names=names)
+                weight += len(chunk.data)
+                if held and (weight >= 4 << 20 or chunk.first + len(chunk) == batch.num_rows):
                     value, count = np.unique(np.concatenate(held), return_counts=True)
                     often = count >= REPORT
+                    none = pa.nulls(int(often.sum()), pa.int64())
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(value[often].view(np.int64)), pa.array(count[often].astype(np.int64))],
-                        names=["chunk", "n"])
-                    held = []
+                        [none] * 4 + [pa.array(value[often].view(np.int64)), pa.array(count[often].astype(np.int64))],
+                        names=names)
+                    held, weight = [], 0
 
-    rows = (docs.mapInArrow(run, "chunk long, n long").groupBy("chunk").agg(F.sum("n").alias("n"))
-            .orderBy(F.col("n").desc(), "chunk").limit(ORDERED).toPandas())
-    chunk = rows["chunk"].to_numpy(dtype=np.int64).view(np.uint64)
-    order = np.argsort(chunk)
-    return chunk[order], rows["n"].to_numpy(dtype=np.int64)[order]
+    return docs.select("row_key", "id", "text").mapInArrow(run, ", ".join(f"{n} long" for n in names))
 
 
-def digest_of(text: Column) -> Column:
-    """128 bits of a digest of the word sequence."""
-    return F.unhex(F.substring(F.sha2(F.array_join(words_of(lower_ascii(text)), " "), 256), 1, 32))
+def _common_chunks(survey: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """The commonest chunk hashes and their counts, at most ``ORDERED`` of them.
+
+    They only set the order in which chunks are signed; any order finds every pair.
+    """
+    rows = (survey.filter("chunk is not null").groupBy("chunk").agg(F.sum("times").alias("times"))
+            .orderBy(F.col("times").desc(), "chunk").limit(ORDERED).toPandas())
+    chunk = rows["chunk"].to_numpy(dtype=np.int64).view(np.uint64)
+    order = np.argsort(chunk)
+    return chunk[order], rows["times"].to_numpy(dtype=np.int64)[order]
 
 
-def _sign(docs: DataFrame, percent: int, width: int) -> DataFrame:
-    """``id, digest, n, buckets`` of every row, buckets as an array."""
-    shared = docs.sparkSession.sparkContext.broadcast(_common_chunks(docs.select("id", "text"), percent, width))
+def _sign(docs: DataFrame, common: tuple[np.ndarray, np.ndarray], percent: int, width: int) -> DataFrame:
+    """``cls, buckets`` of every text; copies within a batch sign once."""
+    shared = docs.sparkSession.sparkContext.broadcast(common)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        common, weight = shared.value
         for batch in batches:
-            for chunk in chunks(batch.column(1)):
+            seen: set[int] = set()
+            for chunk in chunks(batch.column(0)):
                 found = words(chunk, LOWER)
-                sets = [shingle_set(found.hashes[found.of(i)], width) for i in range(len(chunk))]
-                buckets = [_signatures(s, percent, common, weight).view(np.int64) for s in sets]
+                classes, buckets = [], []
+                for i in range(len(chunk)):
+                    cls = _digest(chunk, i)
+                    if cls not in seen:
+                        seen.add(cls)
+                        classes.append(cls)
+                        shingles = shingle_set(found.hashes[found.of(i)], width)
+                        buckets.append(_signatures(shingles, percent, *shared.value).view(np.int64))
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(k).slice(chunk.first, len(chunk)) for k in (0, 2)]
-                    + [pa.array([len(s) for s in sets], type=pa.int64()), pa.array(buckets, type=pa.list_(pa.int64()))],
-                    names=["id", "digest", "n", "buckets"])
+                    [pa.array(classes, type=pa.int64()), pa.array(buckets, type=pa.list_(pa.int64()))],
+                    names=["cls", "buckets"])
+
+    return docs.select("text").mapInArrow(run, "cls long, buckets array<long>")
 
-    return docs.select("id", "text", "digest").mapInArrow(run, "id long, digest binary, n long, buckets array<long>")
 
+def _marks(classes: DataFrame) -> np.ndarray:
+    """A bit for each class, at its digest's place of ``MARKS``."""
+    place = F.col("cls").bitwiseAND(MARKS - 1)
+    rows = (classes.select(F.shiftright(place, 5).alias("at"), F.expr("shiftleft(1L, cast(cls & 31 as int))").alias("bit"))
+            .groupBy("at").agg(F.bit_or("bit").alias("bits")).toPandas())
+    out = np.zeros(MARKS // 32, dtype=np.int64)
+    out[rows["at"].to_numpy(dtype=np.int64)] = rows["bits"].to_numpy(dtype=np.int64)
+    return out
+
+
+def _described(docs: DataFrame, classes: DataFrame, width: int, describe, kind: pa.DataType, sql_kind: str) -> DataFrame:
+    """``cls, n, value`` once for each of the given classes, where ``describe`` makes the value of a shingle set."""
+    shared = docs.sparkSession.sparkContext.broadcast(_marks(classes))
 
-def _shingles(docs: DataFrame, width: int) -> DataFrame:
-    """``id, shingles`` of every row."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        marks = shared.value
         for batch in batches:
-            for chunk in chunks(batch.column(1)):
-                found = words(chunk, LOWER)
-                sets = [shingle_set(found.hashes[found.of(i)], width).view(np.int64) for i in range(len(chunk))]
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(chunk.first, len(chunk)), pa.array(sets, type=pa.list_(pa.int64()))],
-                    names=["id", "shingles"])
+            seen: set[int] = set()
+            for chunk in chunks(batch.column(0)):
+                rows = []
+                for i in range(len(chunk)):
+                    cls = _digest(chunk, i)
+                    place = cls & (MARKS - 1)
+                    if marks[place >> 5] >> (place & 31) & 1 and cls not in seen:
+                        seen.add(cls)
+                        rows.append((i, cls))
+                if rows:
+                    found = words(chunk, LOWER)
+                    sets = [shingle_set(found.hashes[found.of(i)], width) for i, _ in rows]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([cls for _, cls in rows], type=pa.int64()), pa.array([len(s) for s in sets], type=pa.int64()),
+                         pa.array([describe(s) for s in sets], type=kind)], names=["cls", "n", "value"])
+
+    made = docs.select("text").mapInArrow(run, f"cls long, n long, value {sql_kind}")
+    return made.join(classes, "cls", "left_semi").groupBy("cls").agg(F.first("n").alias("n"), F.first("value").alias("value"))
+
+
+def _sides(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    side = table.column("side").to_numpy()
+    return side, np.flatnonzero(side != 2), np.flatnonzero(side != 1)  # 0: on both sides, 1: left, 2: right
 
-    return docs.mapInArrow(run, "id long, shingles array<long>")
+
+def _within_sketches(table: pa.Table, percent: int) -> pa.Table:
+    """One pair of blocks: the texts whose bit sketch is within the bound of another's."""
+    side, left, right = _sides(table)
+    if not len(left) or not len(right):
+        return table.select(["meeting", "cls", "side"]).slice(0, 0)
+    packed = [np.frombuffer(v.as_py(), dtype=np.uint8) for v in table.column("value")]
+    size = min(len(p) for p in packed)
+    # A sketch of more places is folded onto the fewest.
+    bits = np.stack([np.unpackbits(np.bitwise_xor.reduce(p.reshape(-1, size), axis=0)) for p in packed]).astype(np.float32)
+    ones, n = bits.sum(axis=1), table.column("n").to_numpy()
+    apart = ones[left][:, None] + ones[right][None, :] - 2 * (bits[left] @ bits[right].T)
+    near = apart * (100 + percent) <= (100 - percent) * (n[left][:, None] + n[right][None, :])
+    if side[0] == 0:
+        np.fill_diagonal(near, False)
+    use = np.zeros(len(side), dtype=bool)
+    use[left] |= near.any(axis=1)
+    use[right] |= near.any(axis=0)
+    return table.select(["meeting", "cls", "side"]).filter(pa.array(use))
 
 
 def _common_counts(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
@@ -183,19 +269,15 @@ def _common_counts(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarra
 
 def _compare(table: pa.Table, percent: int) -> pa.Table:
     """One pair of blocks: for each text a smaller one it hangs on, and the number of documents it links with."""
-    ids = table.column("id").to_numpy()
-    weights = table.column("weight").to_numpy()
-    side = table.column("side").to_numpy()
-    sets = [np.asarray(s.values) for s in table.column("shingles")]
-    right = np.flatnonzero(side != 1)  # 0: both sides, 2: right only
-    left = np.flatnonzero(side != 2)
+    ids, weights = table.column("cls").to_numpy(), table.column("weight").to_numpy()
+    side, left, right = _sides(table)
     none = pa.table({"id": ids[:0], "root": ids[:0], "links": weights[:0]})
     if not len(left) or not len(right):
         return none
+    sets = [np.asarray(s.values) for s in table.column("value")]
     both = _common_counts([sets[i] for i in left], [sets[i] for i in right]).astype(np.int64)
     n = np.array([len(s) for s in sets])
-    union = n[left][:, None] + n[right][None, :] - both
-    linked = 100 * both >= percent * union
+    linked = 100 * both >= percent * (n[left][:, None] + n[right][None, :] - both)
     li, ri = np.nonzero(linked)
     li, ri = left[li], right[ri]
     if side[0] == 0:  # one block with itself
@@ -215,76 +297,81 @@ def _compare(table: pa.Table, percent: int) -> pa.Table:
     return pa.table({"id": ids[use], "root": root[use], "links": links[use].astype(np.int64)})
 
 
-def link_table(docs: DataFrame, percent: int = 80, width: int = 5) -> tuple[DataFrame, DataFrame]:
-    """Classes of equal word sequences, and what links between them.
+def link_table(docs: DataFrame, percent: int = 80, width: int = 5) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Rows with their class of equal word sequences, the classes, and what links between them.
 
-    ``docs`` has ``id`` (long) and ``text``.  Returns ``cls, digest, rep, weight, n``
+    ``docs`` has ``row_key``, ``id`` and ``text``.  Returns ``row_key, cls`` of each row, ``cls, rep, weight, n``
     per class (``rep`` its smallest id), and rows ``id, root, links``: a class, a class that it
     is connected with, and the documents of other classes that it links with.
     """
     if not 50 <= percent < 100:
         raise ValueError("percent lies between 50 and 99")
-    docs = docs.withColumn("digest", digest_of(F.col("text")))
+    survey = cut_lineage(_survey(docs, percent, width), "jaccard-survey")
+    rows = survey.filter("cls is not null").select("row_key", "id", "cls", "n")
     classes = cut_lineage(
-        _sign(docs, percent, width).groupBy("digest")
-        .agg(F.min("id").alias("rep"), F.count("*").alias("weight"), F.first("n").alias("n"),
-             F.first("buckets").alias("buckets"))
-        .withColumn("cls", F.monotonically_increasing_id()), "jaccard-classes")
-    entries = classes.select(F.col("cls").alias("id"), F.explode("buckets").alias("bucket"))
-    sizes = entries.groupBy("bucket").agg(F.count("*").alias("size")).filter("size > 1")
-    met = cut_lineage(entries.join(sizes, "bucket"), "jaccard-met")
-    hubs = met.groupBy("id").agg(F.max(F.struct("size", "bucket")).alias("hub"))
+        rows.groupBy("cls").agg(F.min("id").alias("rep"), F.count("*").alias("weight"), F.first("n").alias("n")),
+        "jaccard-classes")
+    # One shuffle by bucket serves both what removes copies and what counts.
+    entries = _sign(docs, _common_chunks(survey), percent, width).select("cls", F.explode("buckets").alias("bucket"))
+    entries = entries.repartition("bucket").groupBy("bucket", "cls").agg(F.lit(1).alias("one"))
+    met = entries.withColumn("size", F.count("*").over(Window.partitionBy("bucket"))).filter("size > 1")
     hubs = cut_lineage(
-        hubs.join(classes.select(F.col("cls").alias("id"), "digest", "weight", "n"), "id"), "jaccard-hubs")
-    texts = docs.join(hubs.select("digest", F.col("id").alias("cls")), "digest").groupBy("cls").agg(
-        F.min("text").alias("text"))  # the texts of a class have the same words
-    return classes.drop("buckets"), _links(met, hubs, _shingles(texts.select("cls", "text"), width), percent)
+        met.groupBy("cls").agg(F.max(F.struct("size", "bucket")).alias("top"), F.collect_list("bucket").alias("buckets"))
+        .select("cls", F.col("top.bucket").alias("hub"), "buckets"), "jaccard-hubs")
+    return rows.select("row_key", "cls"), classes, _links(docs, hubs, classes, percent, width)
 
 
-def _links(met: DataFrame, hubs: DataFrame, shingles: DataFrame, percent: int) -> DataFrame:
-    # A text visits the hubs larger than its own that members of its buckets have.
-    at = met.select("id", "bucket").join(hubs.select("id", "hub"), "id")
+def _links(docs: DataFrame, hubs: DataFrame, classes: DataFrame, percent: int, width: int) -> DataFrame:
+    # A text visits the hubs after its own that other members of its buckets have; most buckets know one hub only.
+    at = hubs.select("cls", "hub", F.explode("buckets").alias("bucket"))
+    mixed = at.groupBy("bucket").agg(F.min("hub").alias("low"), F.max("hub").alias("high")).filter("low < high").select("bucket")
+    at = cut_lineage(at.join(mixed, "bucket"), "jaccard-mixed")
     here = at.select("bucket", F.col("hub").alias("there")).distinct()
     visits = (
         at.join(here, "bucket").filter(F.col("there") > F.col("hub"))
-        .select("id", F.col("there").alias("target")).distinct())
+        .select("cls", F.col("there").alias("target")).distinct())
     # Size classes: linked sizes are in one class or in neighbours.
     level = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100.0 / percent)) + F.lit(1e-9)).cast("int")
-    people = cut_lineage(hubs.select("id", "hub", "weight", "n", level.alias("level")), "jaccard-people")
-    cells = (
-        people.groupBy("hub", "level").agg(F.sum("n").alias("load"))
-        .select("hub", "level", F.ceil(F.col("load") / BLOCK).cast("int").alias("blocks")))
-    cells = cut_lineage(cells, "jaccard-cells")
-    slot = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
-    members = people.join(cells, ["hub", "level"]).select("id", "weight", "hub", "level", "blocks", slot.alias("block"))
-    # Members of one cell: block b meets itself and every later block.
-    own_right = members.select(
-        "id", "weight", "hub", "level", F.explode(F.sequence(F.lit(0), F.col("block"))).alias("x"),
-        F.col("block").alias("y"), F.lit("own").alias("kind"))
-    own_left = members.filter("block < blocks - 1").select(
-        "id", "weight", "hub", "level", F.col("block").alias("x"),
-        F.explode(F.sequence(F.col("block") + 1, F.col("blocks") - 1)).alias("y"), F.lit("own").alias("kind"))
-    own = (own_right.withColumn("side", F.when(F.col("x") == F.col("y"), 0).otherwise(2))
-           .union(own_left.withColumn("side", F.lit(1))))
+    people = cut_lineage(
+        hubs.select("cls", "hub").join(classes.select("cls", "n"), "cls").select("cls", "hub", "n", level.alias("level")),
+        "jaccard-people")
+    cells = cut_lineage(
+        people.groupBy("hub", "level").agg(F.ceil(F.sum("n") / BLOCK).cast("int").alias("blocks"), F.count("*").alias("crowd")),
+        "jaccard-cells")
     # Guests of a cell: its hub's members one level below, and visitors one level around.
-    guests = people.select("id", "weight", "n", F.col("hub").alias("hub"), (F.col("level") + 1).alias("level"))
-    visitors = visits.join(people.drop("hub"), "id").select(
-        "id", "weight", "n", F.col("target").alias("hub"),
+    guests = people.select("cls", "n", "hub", (F.col("level") + 1).alias("level"))
+    visitors = visits.join(people.drop("hub"), "cls").select(
+        "cls", "n", F.col("target").alias("hub"),
         F.explode(F.array(F.col("level") - 1, F.col("level"), F.col("level") + 1)).alias("level"))
     guests = cut_lineage(guests.union(visitors).join(cells, ["hub", "level"]), "jaccard-guests")
     parties = guests.groupBy("hub", "level").agg(F.ceil(F.sum("n") / BLOCK).cast("int").alias("parties"))
-    guests = guests.join(parties, ["hub", "level"]).withColumn("party", F.pmod(F.xxhash64("id"), F.col("parties")).cast("int"))
-    guest_left = guests.select(
-        "id", "weight", "hub", "level", F.col("party").alias("x"),
-        F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("y"), F.lit("guest").alias("kind"), F.lit(1).alias("side"))
-    guest_right = members.join(parties, ["hub", "level"]).select(
-        "id", "weight", "hub", "level", F.explode(F.sequence(F.lit(0), F.col("parties") - 1)).alias("x"),
-        F.col("block").alias("y"), F.lit("guest").alias("kind"), F.lit(2).alias("side"))
-    meetings = own.union(guest_left).union(guest_right).join(shingles, "id")
-    key = F.concat_ws("/", F.col("hub.bucket"), "level", "kind", "x", "y")
-    wide = meetings.select(key.alias("meeting"), "id", "weight", "side", "shingles")
-    return wide.groupBy("meeting").applyInArrow(
-        lambda table: _compare(table, percent), "id long, root long, links long")
+    slot = F.pmod(F.xxhash64("cls"), F.col("blocks")).cast("int")
+    members = people.join(cells, ["hub", "level"]).select("cls", "hub", "level", "blocks", "crowd", slot.alias("block"))
+
+    def meeting(kind: str, x, y, side):
+        return [F.concat_ws("/", "hub", "level", F.lit(kind), x, y).alias("meeting"), side.cast("int").alias("side")]
+
+    # Members of one cell: block b meets itself and every later block.
+    several = members.filter("crowd > 1")
+    x, y = F.col("x"), F.col("block")
+    own = several.withColumn("x", F.explode(F.sequence(F.lit(0), y))).select(
+        "cls", *meeting("own", x, y, F.when(x == y, 0).otherwise(2)))
+    later = several.filter("block < blocks - 1").withColumn("x", F.explode(F.sequence(y + 1, F.col("blocks") - 1))).select(
+        "cls", *meeting("own", y, x, F.lit(1)))
+    party = F.pmod(F.xxhash64("cls"), F.col("parties")).cast("int")
+    come = guests.join(parties, ["hub", "level"]).withColumn(
+        "x", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select("cls", *meeting("guest", party, x, F.lit(1)))
+    stay = members.join(parties, ["hub", "level"]).withColumn(
+        "x", F.explode(F.sequence(F.lit(0), F.col("parties") - 1))).select("cls", *meeting("guest", x, y, F.lit(2)))
+    meetings = own.union(later).union(come).union(stay)
+
+    dense = _described(docs, people.select("cls").distinct(), width, bit_sketch, pa.binary(), "binary")
+    near = cut_lineage(
+        meetings.join(dense, "cls").groupBy("meeting")
+        .applyInArrow(lambda t: _within_sketches(t, percent), "meeting string, cls long, side int"), "jaccard-near")
+    whole = _described(docs, near.select("cls").distinct(), width, lambda s: s.view(np.int64), pa.list_(pa.int64()), "array<long>")
+    wide = near.join(whole.join(classes.select("cls", "weight"), "cls").select("cls", "weight", "value"), "cls")
+    return wide.groupBy("meeting").applyInArrow(lambda t: _compare(t, percent), "id long, root long, links long")
 
 
 def near_duplicates(
@@ -305,8 +392,9 @@ def near_duplicates(
     all); one named like a result is replaced.  An empty table gives an empty result.
     """
     columns = list(docs.columns if carry is None else carry)
-    plain = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), text_of(text_col).alias("text"))
-    classes, found = link_table(plain, percent, width)
+    key = F.xxhash64(F.col(f"`{id_col}`"), text_of(text_col))
+    plain = docs.select(key.alias("row_key"), F.col(f"`{id_col}`").cast("long").alias("id"), text_of(text_col).alias("text"))
+    rows, classes, found = link_table(plain, percent, width)
     found = cut_lineage(found, "jaccard-links")
     reach = components(found.select(F.col("id").alias("a"), F.col("root").alias("b")))
     n_links = found.groupBy(F.col("id").alias("cls")).agg(F.sum("links").alias("links"))
@@ -314,17 +402,18 @@ def near_duplicates(
         classes.join(reach.withColumnRenamed("id", "cls"), "cls", "left").join(n_links, "cls", "left")
         .withColumn("component", F.coalesce("component", "cls")), "jaccard-table")
     keeper = table.groupBy("component").agg(
-        F.min(F.struct(F.col("rep").isNull().alias("none"), "rep", F.col("digest").alias("best"))).alias("keeper"))
+        F.min(F.struct(F.col("rep").isNull().alias("none"), "rep", F.col("cls").alias("best"))).alias("keeper"))
     table = table.join(keeper, "component").select(
-        "digest", F.col("n").alias("size"), "keeper.rep", "keeper.best",
+        "cls", F.col("n").alias("size"), "keeper.rep", "keeper.best",
         (F.coalesce("links", F.lit(0)) + F.col("weight") - 1).alias("links"))
-    rows = docs.select(row_struct(docs, columns).alias("row"), F.col(f"`{id_col}`").cast("long").alias("id"),
-                       digest_of(text_of(text_col)).alias("row_digest"))
-    joined = rows.join(table, F.col("row_digest") == F.col("digest"))
+    # What a row gets depends on its id and text alone; equal rows share an entry.
+    entry = rows.dropDuplicates(["row_key"]).join(table, "cls")
+    own = docs.select(row_struct(docs, columns).alias("row"), F.col(f"`{id_col}`").cast("long").alias("id"), key.alias("own_key"))
+    joined = own.join(entry, F.col("own_key") == F.col("row_key"))
     alone = F.col("size") == 0
     return unpacked(joined, columns, {
         "n_shingles": F.col("size"),
         "component_id": F.when(alone, F.col("id")).otherwise(F.col("rep")),
         "n_links": F.when(alone, F.lit(0)).otherwise(F.col("links")),
-        "kept": alone | (F.col("id").eqNullSafe(F.col("rep")) & (F.col("digest") == F.col("best"))),
+        "kept": alone | (F.col("id").eqNullSafe(F.col("rep")) & (F.col("cls") == F.col("best"))),
     })

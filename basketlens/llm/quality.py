@@ -8,6 +8,7 @@ reference by Jensen-Shannon distance (base 2, 0 to 1), and the nearest counts.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -17,11 +18,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from basketlens.llm.common import n_words, text_of, words_of
+from basketlens.llm.common import text_of
 from basketlens.llm.text_arrays import SPACE, Chunk, chunks, runs_of, words
+from basketlens.sources.session import cut_lineage
 
 SYMBOLS = b"#*$%&|<>"
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+#: Words that a task counts before it hands them on.
+HELD = 1 << 16
 RESULTS = (*COUNTS, "base_failed", "class_distance", "word_distance", "kept")
 
 
@@ -126,53 +130,83 @@ def _hash_words(values: list[str]) -> np.ndarray:
     return np.concatenate(out) if out else np.zeros(0, dtype=np.uint64)
 
 
-def measure(docs: DataFrame, text_col: str = "text", rules: Rules = Rules()) -> DataFrame:
-    """Only ``lang``-free measures: the five counts, ``base_failed`` and the class histogram ``kinds``, beside ``lang``."""
-    schema = T.StructType([T.StructField("lang", T.StringType()), T.StructField("base_failed", T.BooleanType()),
-                           T.StructField("n_words", T.LongType()), T.StructField("kinds", T.ArrayType(T.LongType()))])
+def _common_candidates(chunk: Chunk, found, used: np.ndarray, longest: int) -> Iterator[tuple[str, int]]:
+    """Words of the ``used`` rows, short enough and with a letter, each once with its count."""
+    at = np.flatnonzero(np.repeat(used, np.diff(found.rows)))
+    _, first, times = np.unique(found.hashes[at], return_index=True, return_counts=True)
+    at = at[first]
+    starts, ends = found.starts[at], found.ends[at]
+    short = np.flatnonzero(ends - starts <= 4 * longest)  # a code point has at most four bytes
+    for k in short:
+        word = chunk.data[starts[k]:ends[k]].tobytes().decode("utf-8", "replace")
+        if len(word) <= longest and any(map(str.isalpha, word)):
+            yield word, int(times[k])
+
+
+def gather(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
+    """``lang, word, n, kinds`` of the texts that pass the simple counts, summed up within each task.
+
+    A row without ``word`` holds a language's words ``n`` and its class histogram ``kinds``; other rows hold how often a
+    word comes.  ``docs`` has ``lang``, without nulls, and ``text``.  A task hands on what it holds whenever that
+    reaches ``HELD`` words, so its memory is bounded.
+    """
+    schema = T.StructType([T.StructField("lang", T.StringType()), T.StructField("word", T.StringType()),
+                           T.StructField("n", T.LongType()), T.StructField("kinds", T.ArrayType(T.LongType()))])
+
+    def batch_of(totals: dict, held: Counter) -> pa.RecordBatch:
+        rows = [(lang, None, int(t[0]), t[1:].tolist()) for lang, t in totals.items()]
+        rows += [(lang, word, n, None) for (lang, word), n in held.items()]
+        kinds = (pa.string(), pa.string(), pa.int64(), pa.list_(pa.int64()))
+        return pa.RecordBatch.from_arrays(
+            [pa.array([r[k] for r in rows], type=kind) for k, kind in enumerate(kinds)], names=schema.names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        totals: dict[str, np.ndarray] = {}
+        held: Counter = Counter()
         for batch in batches:
             for chunk in chunks(batch.column(1)):
-                counts, kinds = _counts(chunk, words(chunk), rules.window)
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(chunk.first, len(chunk)), pa.array(_failed(counts, rules)),
-                     pa.array(counts[:, 0]), pa.array(list(kinds), type=pa.list_(pa.int64()))],
-                    names=schema.names)
-
-    return docs.select("lang", text_of(text_col).alias("text")).mapInArrow(run, schema)
+                found = words(chunk)
+                counts, kinds = _counts(chunk, found, rules.window)
+                passed = ~_failed(counts, rules)
+                langs = np.array(batch.column(0).slice(chunk.first, len(chunk)).to_pylist(), dtype=object)
+                for lang in set(langs):
+                    used = passed & (langs == lang)
+                    sums = np.append(counts[used, 0].sum(), kinds[used].sum(axis=0))
+                    totals[lang] = totals.get(lang, 0) + sums
+                    for word, n in _common_candidates(chunk, found, used, rules.common_length):
+                        held[lang, word] += n
+                if len(held) + len(totals) >= HELD:
+                    yield batch_of(totals, held)
+                    totals, held = {}, Counter()
+        yield batch_of(totals, held)
+
+    return docs.select("lang", "text").mapInArrow(run, schema)
 
 
 def learn(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", rules: Rules = Rules()) -> References:
     """References of all languages in ``docs``, from all documents that pass the simple counts.
 
-    What reaches the driver is one histogram and ``common_words`` words per language.
+    What reaches the driver is one histogram and ``common_words`` words per language of at least ``reference_guard`` words.
     """
     rows = docs.filter(F.col(f"`{lang_col}`").isNotNull()).select(
         F.col(f"`{lang_col}`").cast("string").alias("lang"), text_of(text_col).alias("text"))
-    sums = [F.sum(F.when(~F.col("base_failed"), F.col("kinds")[k])).alias(f"k{k}") for k in range(N_CLASSES)]
-    total = F.sum(F.when(~F.col("base_failed"), F.col("n_words"))).alias("total")
-    kinds = {r["lang"]: r for r in measure(rows, "text", rules).groupBy("lang").agg(total, *sums).collect()}
-    counted = (
-        rows.filter(n_words(F.col("text")) >= rules.min_words)
-        .select("lang", F.explode(words_of(F.col("text"))).alias("word"))
-        .filter((F.length("word") <= rules.common_length) & F.col("word").rlike(r"\p{L}"))
-        .groupBy("lang", "word").agg(F.count("*").alias("n")))
+    sums = [F.sum(F.col("kinds")[k]).alias(f"k{k}") for k in range(N_CLASSES)]
+    gathered = cut_lineage(gather(rows, rules).groupBy("lang", "word").agg(F.sum("n").alias("n"), *sums), "quality-counts")
+    totals = gathered.filter(F.col("word").isNull() & (F.col("n") >= rules.reference_guard))
     place = F.row_number().over(Window.partitionBy("lang").orderBy(F.col("n").desc(), "word"))
-    common = counted.withColumn("place", place).filter(F.col("place") <= rules.common_words).collect()
+    common = (
+        gathered.filter(F.col("word").isNotNull()).select("lang", "word", "n")
+        .join(totals.select("lang"), "lang", "left_semi")
+        .withColumn("place", place).filter(F.col("place") <= rules.common_words).collect())
     out = References()
     shares = []
-    for lang in sorted(kinds):
-        row = kinds[lang]
-        if (row["total"] or 0) < rules.reference_guard:
-            continue
-        mine = sorted((r for r in common if r["lang"] == lang), key=lambda r: r["place"])
+    for row in sorted(totals.collect(), key=lambda r: r["lang"]):
+        mine = sorted((r for r in common if r["lang"] == row["lang"]), key=lambda r: r["place"])
         counts = np.array([r["n"] for r in mine], dtype=float)
-        all_words = max(float(row["total"]), counts.sum())
         hist = np.array([row[f"k{k}"] for k in range(N_CLASSES)], dtype=float)
-        out.languages.append(lang)
+        out.languages.append(row["lang"])
         shares.append(hist / hist.sum())
-        out.word_shares.append(np.append(counts, all_words - counts.sum()) / all_words)
+        out.word_shares.append(np.append(counts, row["n"] - counts.sum()) / row["n"])
         out.word_hashes.append(_hash_words([r["word"] for r in mine]))
     if shares:
         out.class_shares = np.array(shares)

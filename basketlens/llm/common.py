@@ -38,6 +38,15 @@ def n_words(text: Column) -> Column:
     return F.regexp_count(text, F.lit(WORD)).cast("long")
 
 
+def small_batches(spark: SparkSession, most: int = 8 << 20) -> None:
+    """Hand texts to Python in Arrow batches of about ``most`` bytes (or one row).
+
+    A setting of the session; it changes no result.  Spark's own bound of 64 MB a batch is held several times over by a task: as
+    Arrow vectors in the executor, and in Python as the batch at work and the next one.
+    """
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(most))
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from basketlens.llm.common import text_of
+from basketlens.llm.common import small_batches, text_of
 from basketlens.llm.text_arrays import SPACE, Chunk, chunks, runs_of, words
 from basketlens.sources.session import cut_lineage
 
@@ -144,25 +144,26 @@ def _common_candidates(chunk: Chunk, found, used: np.ndarray, longest: int) -> I
 
 
 def gather(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
-    """``lang, word, n, kinds`` of the texts that pass the simple counts, summed up within each task.
+    """``lang, kind, word, n`` of the texts that pass the simple counts, summed up within each task.
 
-    A row without ``word`` holds a language's words ``n`` and its class histogram ``kinds``; other rows hold how often a
-    word comes.  ``docs`` has ``lang``, without nulls, and ``text``.  A task hands on what it holds whenever that
-    reaches ``HELD`` words, so its memory is bounded.
+    Kind -1 says how often a word comes, a kind of 0 to 7 how many characters of that class come, and kind ``N_CLASSES`` how many
+    words; the last two have no ``word``.  ``docs`` has ``lang``, without nulls, and ``text``.  A task hands on what it holds
+    whenever that reaches ``HELD`` words, so its memory is bounded.
     """
-    schema = T.StructType([T.StructField("lang", T.StringType()), T.StructField("word", T.StringType()),
-                           T.StructField("n", T.LongType()), T.StructField("kinds", T.ArrayType(T.LongType()))])
+    names = ["lang", "kind", "word", "n"]
 
-    def batch_of(totals: dict, held: Counter) -> pa.RecordBatch:
-        rows = [(lang, None, int(t[0]), t[1:].tolist()) for lang, t in totals.items()]
-        rows += [(lang, word, n, None) for (lang, word), n in held.items()]
-        kinds = (pa.string(), pa.string(), pa.int64(), pa.list_(pa.int64()))
-        return pa.RecordBatch.from_arrays(
-            [pa.array([r[k] for r in rows], type=kind) for k, kind in enumerate(kinds)], names=schema.names)
+    def batch_of(totals: dict[str, np.ndarray], held: dict[str, Counter]) -> Iterator[pa.RecordBatch]:
+        for lang, t in totals.items():
+            found = held[lang]
+            kinds = [*range(N_CLASSES + 1), *[-1] * len(found)]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([lang] * len(kinds), type=pa.string()), pa.array(kinds, type=pa.int32()),
+                 pa.array([*[None] * (N_CLASSES + 1), *found], type=pa.string()),
+                 pa.array([*t.tolist(), *found.values()], type=pa.int64())], names=names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         totals: dict[str, np.ndarray] = {}
-        held: Counter = Counter()
+        held: dict[str, Counter] = {}
         for batch in batches:
             for chunk in chunks(batch.column(1)):
                 found = words(chunk)
@@ -171,16 +172,16 @@ def gather(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
                 langs = np.array(batch.column(0).slice(chunk.first, len(chunk)).to_pylist(), dtype=object)
                 for lang in set(langs):
                     used = passed & (langs == lang)
-                    sums = np.append(counts[used, 0].sum(), kinds[used].sum(axis=0))
-                    totals[lang] = totals.get(lang, 0) + sums
+                    totals[lang] = totals.get(lang, 0) + np.append(kinds[used].sum(axis=0), counts[used, 0].sum())
+                    mine = held.setdefault(lang, Counter())
                     for word, n in _common_candidates(chunk, found, used, rules.common_length):
-                        held[lang, word] += n
-                if len(held) + len(totals) >= HELD:
-                    yield batch_of(totals, held)
-                    totals, held = {}, Counter()
-        yield batch_of(totals, held)
+                        mine[word] += n
+                if len(totals) + sum(map(len, held.values())) >= HELD:
+                    yield from batch_of(totals, held)
+                    totals, held = {}, {}
+        yield from batch_of(totals, held)
 
-    return docs.select("lang", "text").mapInArrow(run, schema)
+    return docs.select("lang", "text").mapInArrow(run, "lang string, kind int, word string, n long")
 
 
 def learn(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", rules: Rules = Rules()) -> References:
@@ -188,25 +189,27 @@ def learn(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", rules
 
     What reaches the driver is one histogram and ``common_words`` words per language of at least ``reference_guard`` words.
     """
+    small_batches(docs.sparkSession)
     rows = docs.filter(F.col(f"`{lang_col}`").isNotNull()).select(
         F.col(f"`{lang_col}`").cast("string").alias("lang"), text_of(text_col).alias("text"))
-    sums = [F.sum(F.col("kinds")[k]).alias(f"k{k}") for k in range(N_CLASSES)]
-    gathered = cut_lineage(gather(rows, rules).groupBy("lang", "word").agg(F.sum("n").alias("n"), *sums), "quality-counts")
-    totals = gathered.filter(F.col("word").isNull() & (F.col("n") >= rules.reference_guard))
+    gathered = cut_lineage(gather(rows, rules).groupBy("lang", "kind", "word").agg(F.sum("n").alias("n")), "quality-counts")
+    kinds = (
+        gathered.filter("kind >= 0").groupBy("lang").agg(F.map_from_entries(F.collect_list(F.struct("kind", "n"))).alias("sums"))
+        .filter(F.col("sums")[N_CLASSES] >= rules.reference_guard).orderBy("lang").collect())
     place = F.row_number().over(Window.partitionBy("lang").orderBy(F.col("n").desc(), "word"))
     common = (
-        gathered.filter(F.col("word").isNotNull()).select("lang", "word", "n")
-        .join(totals.select("lang"), "lang", "left_semi")
+        gathered.filter((F.col("kind") == -1) & F.col("lang").isin([r["lang"] for r in kinds])).select("lang", "word", "n")
         .withColumn("place", place).filter(F.col("place") <= rules.common_words).collect())
     out = References()
     shares = []
-    for row in sorted(totals.collect(), key=lambda r: r["lang"]):
+    for row in kinds:
+        total = row["sums"][N_CLASSES]
         mine = sorted((r for r in common if r["lang"] == row["lang"]), key=lambda r: r["place"])
         counts = np.array([r["n"] for r in mine], dtype=float)
-        hist = np.array([row[f"k{k}"] for k in range(N_CLASSES)], dtype=float)
+        hist = np.array([row["sums"][k] for k in range(N_CLASSES)], dtype=float)
         out.languages.append(row["lang"])
         shares.append(hist / hist.sum())
-        out.word_shares.append(np.append(counts, row["n"] - counts.sum()) / row["n"])
+        out.word_shares.append(np.append(counts, total - counts.sum()) / total)
         out.word_hashes.append(_hash_words([r["word"] for r in mine]))
     if shares:
         out.class_shares = np.array(shares)
@@ -236,6 +239,7 @@ def judge(docs: DataFrame, refs: References, text_col: str = "text", rules: Rule
     shorter than the guards are null and reject nothing, as they do when there
     is no reference.  Columns named like a result are replaced.  Repeated rows stay.
     """
+    small_batches(docs.sparkSession)
     columns = [c for c in docs.columns if c.lower() not in RESULTS]
     kinds = [T.LongType()] * 5 + [T.BooleanType(), T.DoubleType(), T.DoubleType(), T.BooleanType()]
     schema = T.StructType([docs.schema[c] for c in columns] + [T.StructField(*f) for f in zip(RESULTS, kinds)])

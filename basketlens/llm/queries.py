@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from basketlens.llm import (
     byte_bpe,
+    conversation_repair,
     exact_dedup,
     hmm_lm,
     html_text,
@@ -81,6 +82,18 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(docs.select("doc_id", "text"), quality.learn(docs)).drop("text")
 
 
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    repair = conversation_repair.Repair(conversation_repair.damage(turns))
+    figures, digests = repair.figures(), conversation_repair.digests(repair.edits())
+    same = F.col("conv").eqNullSafe(F.col("conv_id"))
+    found = turns.select("conv_id").distinct().join(figures, same, "left").drop("conv").join(digests, same, "left").drop("conv")
+    return found.select(
+        "conv_id", *(F.coalesce(n, F.lit(0)).cast("long").alias(n) for n in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")),
+        F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_license_scan": op1_license_scan,
     "op2_exact_dedup": op2_exact_dedup,
@@ -92,6 +105,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_suffix_dedup": op8_suffix_dedup,
     "op9_mixing": op9_mixing,
     "op10_quality": op10_quality,
+    "op12_conversation_repair": op12_conversation_repair,
 }
 
 ORACLES: dict[str, str] = {
@@ -132,4 +146,87 @@ ORACLES: dict[str, str] = {
                         - floor(start + (rate - floor(rate)) * place) AS BIGINT) AS copies
             FROM ranked JOIN targets ON ranked.source IS NOT DISTINCT FROM targets.source)
         SELECT *, copies * size AS taken FROM mixed""",
+    "op12_conversation_repair": r"""
+        WITH RECURSIVE fated AS (
+            SELECT conv_id AS conv, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+                   xor(4294967295, list_reduce(
+                       list_concat([4294967295::BIGINT], list_transform(string_split(
+                           coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' '), ''),
+                           lambda x: CAST(unicode(x) AS BIGINT))),
+                       lambda c, b: list_reduce(list_concat([xor(c, b)], [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]),
+                                             lambda x, y: xor(x >> 1, 3988292384 * (x & 1))))) % 20 AS fate
+            FROM conversations),
+        damaged AS (
+            SELECT conv, turn, CASE WHEN fate = 4 THEN 'user' ELSE role END AS role,
+                   CASE fate WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text
+            FROM fated, range(2) r(copy) WHERE fate <> 0 AND (copy = 0 OR fate = 3)),
+        ranked AS (
+            SELECT *, row_number() OVER (PARTITION BY conv ORDER BY turn NULLS FIRST, role, text) - 1 AS rank,
+                   regexp_extract(text, '([^\x20\x09-\x0D])[\x20\x09-\x0D]*$', 1) AS tail
+            FROM damaged),
+        lines AS (
+            SELECT *, left(role, 1) AS letter, CASE
+                       WHEN tail = '' THEN 1
+                       WHEN row_number() OVER (PARTITION BY conv, role, text ORDER BY rank) > 1 THEN 2
+                       WHEN tail NOT IN ('.', '!', '?') THEN 3 ELSE 0 END AS fault,
+                   lag(left(role, 1)) OVER (PARTITION BY conv ORDER BY rank) AS before
+            FROM ranked),
+        figures AS (
+            SELECT conv, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) AS n,
+                   count(*) FILTER (fault = 1) AS blank, count(*) FILTER (fault = 2) AS duplicate,
+                   count(*) FILTER (fault = 3) AS truncated,
+                   count(*) FILTER (before IS NOT NULL AND before || letter NOT IN ('su', 'ua', 'au')) AS illegal
+            FROM lines GROUP BY conv),
+        -- Cost, edits and repaired lines of the best way to each state, turn by turn.
+        ways AS (
+            SELECT conv, 0 AS i, {'c': 0, 'e': '', 't': ''} AS q, NULL::STRUCT(c INTEGER, e VARCHAR, t VARCHAR) AS s,
+                   NULL::STRUCT(c INTEGER, e VARCHAR, t VARCHAR) AS u, NULL::STRUCT(c INTEGER, e VARCHAR, t VARCHAR) AS a
+            FROM figures
+            UNION ALL
+            SELECT conv, i + 1,
+                   {'c': q.c + 3, 'e': q.e || 'D', 't': q.t},
+                   list_sort(list_filter([
+                       CASE WHEN s IS NOT NULL THEN {'c': s.c + 3, 'e': s.e || 'D', 't': s.t} END,
+                       CASE WHEN letter = 's' AND sound THEN {'c': q.c + more, 'e': q.e || 'K', 't': q.t || line} END],
+                       lambda x: x IS NOT NULL))[1],
+                   list_sort(list_filter([
+                       {'c': u.c + 3, 'e': u.e || 'D', 't': u.t},
+                       CASE WHEN letter = 'u' AND sound THEN {'c': q.c + more, 'e': q.e || 'K', 't': q.t || line} END,
+                       CASE WHEN letter = 'u' AND sound AND s IS NOT NULL THEN {'c': s.c + more, 'e': s.e || 'K', 't': s.t || line} END,
+                       CASE WHEN letter = 'u' AND sound THEN {'c': a.c + more, 'e': a.e || 'K', 't': a.t || line} END,
+                       CASE WHEN sound THEN {'c': q.c + 2 + more, 'e': q.e || 'R', 't': q.t || chr(10) || 'user:' || text} END,
+                       CASE WHEN sound AND s IS NOT NULL THEN {'c': s.c + 2 + more, 'e': s.e || 'R', 't': s.t || chr(10) || 'user:' || text} END,
+                       CASE WHEN sound THEN {'c': a.c + 2 + more, 'e': a.e || 'R', 't': a.t || chr(10) || 'user:' || text} END],
+                       lambda x: x IS NOT NULL))[1],
+                   list_sort(list_filter([
+                       {'c': a.c + 3, 'e': a.e || 'D', 't': a.t},
+                       CASE WHEN letter = 'a' AND sound THEN {'c': u.c + more, 'e': u.e || 'K', 't': u.t || line} END,
+                       CASE WHEN sound THEN {'c': u.c + 2 + more, 'e': u.e || 'R', 't': u.t || chr(10) || 'assistant:' || text} END],
+                       lambda x: x IS NOT NULL))[1]
+            FROM (
+                SELECT w.conv, w.i, w.q, w.s, w.u, list_sort(list_filter([w.a0,
+                           {'c': w.u.c + 2, 'e': w.u.e || 'I', 't': w.u.t || chr(10) || 'assistant:'}], lambda x: x IS NOT NULL))[1] AS a,
+                       l.letter, l.text, l.fault IN (0, 3) AS sound, CAST(l.fault = 3 AS INTEGER) AS more,
+                       chr(10) || l.role || ':' || l.text AS line
+                FROM (
+                    SELECT conv, i, q, s, a AS a0, list_sort(list_filter([u,
+                               {'c': q.c + 2, 'e': q.e || 'I', 't': q.t || chr(10) || 'user:'},
+                               CASE WHEN s IS NOT NULL THEN {'c': s.c + 2, 'e': s.e || 'I', 't': s.t || chr(10) || 'user:'} END,
+                               CASE WHEN a IS NOT NULL THEN {'c': a.c + 2, 'e': a.e || 'I', 't': a.t || chr(10) || 'user:'} END],
+                               lambda x: x IS NOT NULL))[1] AS u
+                    FROM ways) w
+                JOIN lines l ON l.conv IS NOT DISTINCT FROM w.conv AND l.rank = w.i)),
+        repaired AS (
+            SELECT w.conv, list_sort(list_filter([q, a,
+                       CASE WHEN u IS NOT NULL THEN {'c': u.c + 2, 'e': u.e || 'I', 't': u.t || chr(10) || 'assistant:'} END,
+                       CASE WHEN s IS NOT NULL THEN
+                           {'c': s.c + 4, 'e': s.e || 'II', 't': s.t || chr(10) || 'user:' || chr(10) || 'assistant:'} END],
+                       lambda x: x IS NOT NULL))[1] AS best
+            FROM ways w JOIN figures f ON f.conv IS NOT DISTINCT FROM w.conv AND f.n = w.i)
+        SELECT o.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+               coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, CAST(coalesce(best.c, 0) AS BIGINT) AS cost,
+               coalesce(best.e, '') AS audit, sha256(coalesce(substr(best.t, 2), '')) AS repaired_sha256
+        FROM (SELECT DISTINCT conv_id FROM conversations) o
+        LEFT JOIN figures f ON f.conv IS NOT DISTINCT FROM o.conv_id
+        LEFT JOIN repaired r ON r.conv IS NOT DISTINCT FROM o.conv_id""",
 }

@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 
 from basketlens.llm import (
     byte_bpe,
+    collocations,
     conversation_repair,
+    embedding_dedup,
     exact_dedup,
     hmm_lm,
     html_text,
@@ -82,6 +84,10 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(docs.select("doc_id", "text"), quality.learn(docs)).drop("text")
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(documents(spark, sf_dir).select("lang", "text"))
+
+
 def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = spark.read.parquet(f"{sf_dir}/conversations.parquet")
     repair = conversation_repair.Repair(conversation_repair.damage(turns))
@@ -94,6 +100,11 @@ def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"))
 
 
+def op13_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("vec_id", "embedding")
+    return embedding_dedup.near_vectors(vectors, carry=["vec_id"])
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_license_scan": op1_license_scan,
     "op2_exact_dedup": op2_exact_dedup,
@@ -105,7 +116,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_suffix_dedup": op8_suffix_dedup,
     "op9_mixing": op9_mixing,
     "op10_quality": op10_quality,
+    "op11_collocations": op11_collocations,
     "op12_conversation_repair": op12_conversation_repair,
+    "op13_embedding_dedup": op13_embedding_dedup,
 }
 
 ORACLES: dict[str, str] = {
@@ -146,6 +159,37 @@ ORACLES: dict[str, str] = {
                         - floor(start + (rate - floor(rate)) * place) AS BIGINT) AS copies
             FROM ranked JOIN targets ON ranked.source IS NOT DISTINCT FROM targets.source)
         SELECT *, copies * size AS taken FROM mixed""",
+    "op11_collocations": r"""
+        WITH pieces AS (
+            SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[.,;:!?\x0A-\x0D]')) AS piece
+            FROM documents),
+        spoken AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS ws FROM pieces),
+        totals AS (SELECT lang, CAST(sum(len(ws)) AS BIGINT) AS n FROM spoken GROUP BY lang),
+        placed AS (
+            SELECT lang, ws, k, unnest(generate_series(1, len(ws) - k + 1)) AS i
+            FROM spoken, (VALUES (1), (2), (3), (4)) size(k) WHERE len(ws) >= k),
+        counted AS (
+            SELECT lang, ws[i:i + k - 1] AS g, any_value(k) AS k, count(*) AS f FROM placed GROUP BY lang, ws[i:i + k - 1] HAVING count(*) >= 30),
+        inner_parts AS (
+            SELECT lang, f, g, k, m, unnest(generate_series(1, k - m + 1)) AS i
+            FROM counted, (VALUES (2), (3)) size(m) WHERE m < k),
+        around AS (SELECT lang, g[i:i + m - 1] AS g, max(f) AS f FROM inner_parts GROUP BY lang, g[i:i + m - 1]),
+        kept AS (
+            SELECT c.lang, c.g, c.k, c.f AS a FROM counted c LEFT JOIN around o ON o.lang = c.lang AND o.g = c.g
+            WHERE c.k > 1 AND (o.f IS NULL OR 100::HUGEINT * o.f < 80::HUGEINT * c.f)),
+        cuts AS (SELECT *, unnest(generate_series(1, k - 1)) AS cut FROM kept),
+        scored AS (
+            SELECT c.*, x.f AS l, y.f AS r, CAST((2000000::HUGEINT * a) // (x.f::HUGEINT + y.f) AS BIGINT) AS score
+            FROM cuts c JOIN counted x ON x.lang = c.lang AND x.g = c.g[1:cut]
+                        JOIN counted y ON y.lang = c.lang AND y.g = c.g[cut + 1:c.k]),
+        best AS (
+            SELECT *, array_to_string(g, ' ') AS phrase FROM scored
+            QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, cut) = 1)
+        SELECT lang, rank, phrase, a, l, r, n, score
+        FROM (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM best)
+        JOIN totals USING (lang) WHERE rank <= 2000""",
     "op12_conversation_repair": r"""
         WITH RECURSIVE fated AS (
             SELECT conv_id AS conv, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
@@ -229,4 +273,18 @@ ORACLES: dict[str, str] = {
         FROM (SELECT DISTINCT conv_id FROM conversations) o
         LEFT JOIN figures f ON f.conv IS NOT DISTINCT FROM o.conv_id
         LEFT JOIN repaired r ON r.conv IS NOT DISTINCT FROM o.conv_id""",
+    "op13_embedding_dedup": """
+        WITH RECURSIVE sound AS (
+            SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+            WHERE len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+              AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+        links AS (
+            SELECT a.vec_id AS x, b.vec_id AS y FROM sound a JOIN sound b ON a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
+            WHERE list_cosine_similarity(a.v, b.v) >= 0.95),
+        reach AS (
+            SELECT vec_id AS id, vec_id AS other FROM embeddings
+            UNION SELECT id, y FROM reach JOIN links ON other = x),
+        counted AS (SELECT x, count(*) AS n FROM links GROUP BY x)
+        SELECT id AS vec_id, coalesce(any_value(n), 0) AS n_links, min(other) AS component_id, id = min(other) AS kept
+        FROM reach LEFT JOIN counted ON id = x GROUP BY id""",
 }

@@ -28,13 +28,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from basketlens.llm.common import numbered, text_of
+from basketlens.llm.common import numbered, small_batches, text_of
 from basketlens.llm.text_arrays import LOWER, Chunk, chunks
 from basketlens.sources.session import cut_lineage
 
 #: Candidates of a trie at most; bytes of text, and word numbers, that are worked on at once.
 SHARD = 1 << 20
-STRETCH, STRIDE = 8 << 20, 1 << 22
+STRETCH, STRIDE = 4 << 20, 1 << 20
+#: Bits of a symbol of a phrase trie, and symbols of a word's number (31 bits).
+DIGIT, DIGITS = 11, 3
 SCHEMA = "lang string, rank long, phrase string, a long, l long, r long, n long, score long"
 
 _BLANK, _STOP = 1, 2
@@ -58,45 +60,45 @@ class Trie(NamedTuple):
         there = (symbols >= 0) & (to >= 0) & (to < len(self.check))
         to[~there] = 0
         there &= self.check[to] == states
-        return to, there
+        return to.astype(np.int32), there
 
 
 def _places(children: list[np.ndarray]) -> tuple[list[int], int]:
-    """A base for each set of symbols (ascending) so that no two sets meet in a slot; and the number of slots."""
+    """A base for each set of symbols (ascending) so that no two sets meet in a slot; and the number of slots.
+
+    First fit, larger sets first; sets of one symbol fill the holes.  A stretch of slots is left behind when a
+    set of the size at hand is unlikely to fit there.
+    """
     free = np.ones(1 << 12, dtype=bool)
     free[0] = False
     bases, hint, window = [0] * len(children), 1, 1 << 10
-
-    def room(size: int) -> None:
-        nonlocal free
-        if size > len(free):
-            free = np.append(free, np.ones(max(size, 2 * len(free)) - len(free), dtype=bool))
-
     order = sorted(range(len(children)), key=lambda i: -len(children[i]))
     several = [i for i in order if len(children[i]) > 1]
     for i in several:
-        apart = children[i] - children[i][0]
+        apart = (children[i] - children[i][0]).tolist()
         at = hint
         while True:
-            room(at + window + int(apart[-1]) + 1)
+            if at + window + apart[-1] >= len(free):
+                free = np.append(free, np.ones(len(free) + apart[-1], dtype=bool))
             fits = free[at:at + window].copy()
             for d in apart[1:]:
                 fits &= free[at + d:at + d + window]
-            if fits.any():
-                at += int(fits.argmax())
+            first = int(fits.argmax())
+            if fits[first]:
+                at += first
                 break
+            if at == hint and window * free[at:at + window].mean() ** len(apart) < 4:
+                hint += window
             at += window
-        free[at + apart] = False
+        for d in apart:
+            free[at + d] = False
         bases[i] = at - int(children[i][0])
-        if not free[hint:hint + window].any() or (len(children[i]) == 2 and free[hint:hint + window].mean() < 0.1):
-            hint += window
-            room(hint + window)
     lone = order[len(several):]
     slots = np.flatnonzero(free)
     if len(slots) < len(lone):
         slots = np.append(slots, len(free) + np.arange(len(lone) - len(slots)))
-    for i, slot in zip(lone, slots, strict=False):
-        bases[i] = int(slot) - int(children[i][0])
+    for i, slot in zip(lone, slots.tolist(), strict=False):
+        bases[i] = slot - int(children[i][0])
     used = max([0, *np.flatnonzero(~free)[-1:].tolist(), *slots[:len(lone)][-1:].tolist()])
     return bases, used + 1
 
@@ -170,14 +172,27 @@ def find_words(words: pa.Array, symbol: int | None, by_bytes: Trie) -> np.ndarra
     return out
 
 
+def digits(words: np.ndarray) -> np.ndarray:
+    """Word numbers as symbols: digits of `DIGIT` bits in a new last axis, so that no state has many or far children."""
+    return words[..., None] >> (DIGIT * np.arange(DIGITS)[::-1]) & ((1 << DIGIT) - 1)
+
+
+def phrase_trie(words: np.ndarray, numbers: np.ndarray) -> Trie:
+    """The trie of the rows of a matrix of word numbers."""
+    size = words.shape[1] * DIGITS
+    return trie(digits(words).ravel(), size * np.arange(len(words) + 1), numbers)
+
+
 def accepted(ids: np.ndarray, words: int, by_words: Trie) -> np.ndarray:
     """Of each position of the numbered text: the candidate of so many words that begins there (-1: none)."""
-    out = np.full(len(ids), -1, dtype=np.int64)
+    out = np.full(len(ids), -1, dtype=np.int32)
     alive = np.flatnonzero(ids[:max(0, len(ids) - words + 1)] >= 0)
-    states = np.zeros(len(alive), dtype=np.int64)
+    states = np.zeros(len(alive), dtype=np.int32)
     for level in range(words):
-        states, there = by_words.step(states, ids[alive + level].astype(np.int64))
-        alive, states = alive[there], states[there]
+        for shift in range(DIGIT * (DIGITS - 1), -1, -DIGIT):
+            here = ids[alive + level]
+            states, there = by_words.step(states, np.where(here < 0, -1, here >> shift & ((1 << DIGIT) - 1)))
+            alive, states = alive[there], states[there]
     out[alive] = by_words.accept[states]
     return out
 
@@ -330,7 +345,7 @@ def _pass(ids: DataFrame, words: int, shared, whole: bool, further: bool, least:
                 here = text.astype(np.int64)
             else:
                 first, by_words = shared.value
-                here = accepted(text, words, by_words)
+                here = accepted(text, words, by_words).astype(np.int64)
                 times = np.bincount(here[here >= 0]) if len(here) else here
                 seen = np.flatnonzero(times)
                 yield pa.RecordBatch.from_arrays(
@@ -363,7 +378,7 @@ def _level(ids: DataFrame, candidates: DataFrame | None, words: int, further: bo
     for first in range(0, size, SHARD):
         table = candidates.filter(f"rank >= {first} AND rank < {first + SHARD}").select("rank", *columns).toArrow()
         rows = np.stack([table.column(c).to_numpy() for c in columns], axis=1).astype(np.int64)
-        made = trie(rows.ravel(), words * np.arange(len(rows) + 1), table.column("rank").to_numpy() - first)
+        made = phrase_trie(rows, table.column("rank").to_numpy() - first)
         shared = spark.sparkContext.broadcast((first, made))
         parts.append(cut_lineage(_pass(ids, words, shared, size <= SHARD, further, least), "phrase-counts"))
         shared.unpersist()
@@ -380,6 +395,7 @@ def frequent_phrases(docs: DataFrame, least: int = 30, longest: int = 4) -> tupl
     ``docs`` has ``lang`` and ``text`` without nulls.  Returns ``lang, n`` (words of a language), ``id, lang, word`` of the frequent words
     and ``ws, f``: word numbers and count of every frequent phrase, single words too.
     """
+    small_batches(docs.sparkSession)
     counted = cut_lineage(
         docs.select("lang", "text").mapInArrow(_count_words, "lang string, word string, n long")
         .groupBy("lang", "word").agg(F.sum("n").alias("n")).filter(f"word IS NULL OR n >= {least}"), "phrase-words")

@@ -84,8 +84,8 @@ def test_nothing_frequent(spark, rows):
 
 def test_trie_holds_exactly_its_sequences():
     rng = np.random.default_rng(0)
-    rows = np.unique(rng.integers(0, 40, (3000, 3)), axis=0)
-    made = co.trie(rows.ravel(), 3 * np.arange(len(rows) + 1), np.arange(len(rows)))
+    rows = np.unique(np.append(rng.integers(0, 40, (3000, 3)), rng.integers(0, 1 << 31, (500, 3)), axis=0), axis=0)
+    made = co.phrase_trie(rows, np.arange(len(rows)))
     text = np.append(rng.integers(-1, 40, 20000), rows[:200].ravel())
     place = {tuple(r): i for i, r in enumerate(rows.tolist())}
     want = [place.get(tuple(text[i:i + 3].tolist()), -1) for i in range(len(text) - 2)] + [-1, -1]

@@ -34,7 +34,7 @@ from basketlens.sources.session import cut_lineage
 
 #: Candidates of a trie at most; bytes of text, and word numbers, that are worked on at once.
 SHARD = 1 << 20
-STRETCH, STRIDE = 4 << 20, 1 << 20
+STRETCH, STRIDE = 2 << 20, 1 << 19
 #: Bits of a symbol of a phrase trie, and symbols of a word's number (31 bits).
 DIGIT, DIGITS = 11, 3
 SCHEMA = "lang string, rank long, phrase string, a long, l long, r long, n long, score long"

@@ -2,17 +2,21 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterable, Sequence
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from basketlens.errors import TransferError
 from basketlens.functions import geometry as geo
 from basketlens.functions import typing as typ
+from basketlens.operators import nodes
 from basketlens.plans.catalog import Catalog, ClassInfo, PropertyInfo
-from basketlens.sources.objects import read_objects, sniff_dialect
+from basketlens.sources.cutter import children
+from basketlens.sources.objects import read_objects
 from basketlens.sources.parse import OBJECT, UNKNOWN, Parser
 
 TECHNICAL = ("_bid", "_tid", "_class", "_operation", "_unsupported_json")
@@ -49,7 +53,6 @@ def scan_class(
     if objects is None:
         if not path:
             raise TransferError("path must not be empty")
-        dialect = dialect or sniff_dialect(spark, path)
         objects = read_objects(spark, path, catalog.model, dialect)
     shown = [p for p in info.properties if p.is_column]
     residual = columns is None or "_unsupported_json" in columns
@@ -59,7 +62,7 @@ def scan_class(
             raise TransferError(f"no such column of {class_name}: {sorted(unknown)[0]}")
         shown = [p for p in shown if p.name in columns]
     names = None if residual else [p.name for p in shown]
-    parser = Parser(catalog.model, info, dialect or _dialect_of(info), names, keep_unknown=residual)
+    parser = Parser(catalog.model, info, dialect, names, keep_unknown=residual)
     parsed = parser.parse(objects.filter(F.col("class_fqn") == class_name))
 
     decodable = [p for p in shown if p.geometry is not None and geometry != "raw"]
@@ -93,10 +96,6 @@ def _decode(
     return parsed, decoded
 
 
-def _dialect_of(info: ClassInfo) -> str:
-    raise TransferError("dialect is needed when objects are given")
-
-
 def check_names(info: ClassInfo) -> None:
     """Refuse property names that cannot stand beside the technical columns."""
     seen: dict[str, str] = {}
@@ -166,10 +165,13 @@ def _structure_members(parser: Parser, prop: PropertyInfo, depth: int) -> list[C
 
 def _residual(parser: Parser, decoded: dict[str, Column]) -> Column:
     """JSON of everything that has no column of its own, ``{}`` if nothing."""
-    parts = []
+    parts, texts = [], []
+    deep = nodes.is_deep(parser.model, parser.info)
     for p in parser.properties:
         values = parser.values(p.name)
-        if p.name in decoded:
+        if deep and p.value_kind == "Structure":
+            texts.append(_named_json(parser, p))
+        elif p.name in decoded:
             error = decoded[p.name]["error"]
             parts.append(F.when(error.isNotNull(), F.array(F.struct(error.alias("_error")))).alias(p.name))
         elif p.value_kind == "Reference" and p.is_column:
@@ -177,28 +179,36 @@ def _residual(parser: Parser, decoded: dict[str, Column]) -> Column:
             parts.append(F.when(away, json_values(parser, p, values)).alias(p.name))
         elif not p.is_column:
             parts.append(json_values(parser, p, values).alias(p.name))
-    known = F.to_json(F.struct(*parts)) if parts else F.lit("{}")
+    known = reduce(_merge_json, texts, F.to_json(F.struct(*parts)) if parts else F.lit("{}"))
     return F.when(F.size(parser.unknown_values()) > 0, _merge_json(known, _unknown_json(parser))).otherwise(known)
 
 
+def _named_json(parser: Parser, prop: PropertyInfo) -> Column:
+    """``{"name": [...]}`` of a structure that nests deeper than the reader's schema."""
+    text = nodes.property_json(parser.model, parser.info, prop, plain=False)
+    return F.coalesce(F.concat(F.lit(f'{{"{prop.name}":'), text, F.lit("}")), F.lit("{}"))
+
+
 def _unknown_json(parser: Parser) -> Column:
     """Properties the catalog does not know, by name, with their inner text.
 
-    The reader keeps the values of unknown elements without their names.  For
-    the few objects that have any, the names come from a schema-free parse and
-    the texts from the raw object.
+    The reader keeps the values of unknown elements without their names.  The few objects that have any are
+    cut once more, into the object's own children.
     """
-    raw = F.col("raw")
-    keys = F.json_object_keys(F.to_json(F.from_xml(raw, "variant", {"ignoreNamespace": "true"})))
-    known = F.array(*[F.lit(p.name) for p in parser.info.properties])
-    names = F.filter(F.array_except(keys, known), lambda k: ~k.startswith("_"))
+    known = frozenset(p.name for p in parser.info.properties)
 
-    def texts(name: Column) -> Column:
-        pattern = F.concat(F.lit(r"(?s)<(?:[\w.-]+:)?"), name, F.lit(r"(?:\s[^<>]*)?(?:/>|>(.*?)</(?:[\w.-]+:)?"),
-                           name, F.lit(r"\s*>)"))
-        return F.regexp_extract_all(raw, pattern, F.lit(1))
+    @F.arrow_udf("string")
+    def named(raws: pa.Array) -> pa.Array:
+        out = []
+        for raw in raws:
+            found: dict[str, list[str]] = {}
+            for name, text in children(raw.as_py().encode()) if raw.is_valid else ():
+                if name not in known:
+                    found.setdefault(name, []).append(text.decode())
+            out.append(json.dumps(found, ensure_ascii=False, separators=(",", ":")))
+        return pa.array(out, pa.string())
 
-    return F.to_json(F.map_from_entries(F.transform(names, lambda n: F.struct(n.alias("k"), texts(n).alias("v")))))
+    return named(F.when(F.size(parser.unknown_values()) > 0, F.col("raw")))
 
 
 def _merge_json(left: Column, right: Column) -> Column:
@@ -215,13 +225,13 @@ def read_class(
     """A class with its structures and bags as columns: JSON text or nested values.
 
     A missing structure or bag is NULL; an empty bag is an empty list.
-    References are named ``<role>_ref``.
+    References are named ``<role>_ref``.  JSON has all levels; a column type ends somewhere, and nested
+    values hold what lies below its fifth level as raw text.
     """
     if nested not in ("json", "struct"):
         raise TransferError("nested must be 'json' or 'struct'")
     info = catalog.model.require_class(class_name)
     check_names(info)
-    dialect = dialect or sniff_dialect(spark, path)
     objects = read_objects(spark, path, catalog.model, dialect).filter(F.col("class_fqn") == class_name)
     return _class_columns(objects, info, catalog, nested, temporal, dialect, geometry)
 
@@ -235,8 +245,12 @@ def _class_columns(objects, info: ClassInfo, catalog: Catalog, nested, temporal,
         values = parser.values(p.name)
         if p.value_kind == "Structure":
             value = F.get(values, F.lit(0)) if p.single else values
-            out.append((F.to_json(plain(parser, p, value)).alias(f"{p.name}_json")) if nested == "json"
-                       else plain(parser, p, value).alias(p.name))
+            if nested == "struct":
+                out.append(plain(parser, p, value).alias(p.name))
+            elif nodes.is_deep(catalog.model, info):
+                out.append(nodes.property_json(catalog.model, info, p, plain=True).alias(f"{p.name}_json"))
+            else:
+                out.append(F.to_json(plain(parser, p, value)).alias(f"{p.name}_json"))
         elif p.value_kind == "Reference" and p.single:
             out.append(_column(p, parser, info.fqn, None, geometry, "error", temporal).alias(f"{p.name}_ref"))
         elif p.geometry is not None and p.single:
@@ -283,7 +297,6 @@ def bag_rows(
     prop = info.property(property_name)
     if prop is None or prop.value_kind != "Structure":
         raise TransferError(f"not a structure property: {class_name}.{property_name}")
-    dialect = dialect or sniff_dialect(spark, path)
     objects = read_objects(spark, path, catalog.model, dialect).filter(F.col("class_fqn") == class_name)
     parser = Parser(catalog.model, info, dialect, [property_name])
     explode = F.posexplode_outer if outer else F.posexplode
@@ -313,7 +326,6 @@ def bag_sizes(
     info = catalog.model.require_class(class_name)
     if info.property(property_name) is None:
         raise TransferError(f"no such property: {class_name}.{property_name}")
-    dialect = dialect or sniff_dialect(spark, path)
     objects = read_objects(spark, path, catalog.model, dialect).filter(F.col("class_fqn") == class_name)
     parser = Parser(catalog.model, info, dialect, [property_name])
     values = parser.values(property_name)
@@ -346,7 +358,6 @@ def read_all_objects(
     of classes the catalog does not know keep only their raw text.
     ``keys_only`` leaves out the contents, which then are not parsed.
     """
-    dialect = dialect or sniff_dialect(spark, path)
     objects = read_objects(spark, path, catalog.model, dialect)
     keys = [
         F.col("bid").alias("xtf_bid"), F.col("topic").alias("xtf_topic"),
@@ -374,11 +385,16 @@ def _object_json(parser: Parser) -> Column:
         ]
         return F.to_json(F.struct(*columns)) if columns else F.lit("{}")
 
+    deep = [p for p in parser.properties if p.value_kind == "Structure"] if nodes.is_deep(parser.model, parser.info) else []
+
     def build(o: Column) -> Column:
+        flat = group(o, lambda p: p.geometry is None and p.value_kind != "Reference" and p not in deep)
         return F.struct(
-            group(o, lambda p: p.geometry is None and p.value_kind != "Reference").alias("attributes_json"),
+            flat.alias("attributes_json"),
             group(o, lambda p: p.value_kind == "Reference").alias("refs_json"),
             group(o, lambda p: p.geometry is not None).alias("geom_json"),
         )
 
-    return F.get(F.transform(F.array(parser.from_xml(F.col("raw"))), build), F.lit(0))
+    built = F.get(F.transform(F.array(parser.from_xml(F.col("raw"))), build), F.lit(0))
+    texts = [_named_json(parser, p) for p in deep]
+    return built.withField("attributes_json", reduce(_merge_json, texts, built["attributes_json"])) if texts else built

@@ -9,9 +9,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from basketlens.errors import TransferError
+from basketlens.operators import nodes
 from basketlens.plans.catalog import Catalog, ClassInfo, Model
-from basketlens.sources.objects import read_objects, sniff_dialect
-from basketlens.sources.parse import Parser, union_fields
+from basketlens.sources.objects import read_objects
+from basketlens.sources.parse import MAX_NESTING, Parser, union_fields
 
 _STEP = re.compile(r"^([A-Za-z_]\w*)(?:\[(\*|[1-9][0-9]*)\])?$")
 
@@ -48,24 +49,22 @@ def _below(values: Column, step: Step) -> Column:
     return F.flatten(F.filter(found, lambda f: f.isNotNull()))
 
 
-def path_values(parser: Parser, steps: list[Step]) -> Column | None:
-    """``array<string>`` of the matches, or None if no object can have any."""
-    model: Model = parser.model
-    prop = parser.info.property(steps[0].name)
-    if prop is None:
-        return None
+def can_match(model: Model, info: ClassInfo, steps: list[Step]) -> bool:
+    """Whether objects of the class can have values at the path, which must be primitive."""
+    prop = info.property(steps[0].name)
+    for step in steps[1:]:
+        members = model.concrete_structures(prop.target_class_fqn) if prop is not None and prop.value_kind == "Structure" else []
+        prop = union_fields(members).get(step.name)
+    if prop is not None and not prop.is_scalar:
+        raise TransferError(f"path target is not primitive: {'.'.join(s.name for s in steps)}")
+    return prop is not None
+
+
+def path_values(parser: Parser, steps: list[Step]) -> Column:
+    """``array<string>`` of the matches; the path is no deeper than the reader's schema."""
     values = _select(parser.values(steps[0].name), steps[0])
     for step in steps[1:]:
-        members: list[ClassInfo] = []
-        if prop.value_kind == "Structure":
-            members = model.concrete_structures(prop.target_class_fqn)
-        fields = union_fields(members)
-        if step.name not in fields:
-            return None
-        prop = fields[step.name]
         values = _below(values, step)
-    if not prop.is_scalar:
-        raise TransferError(f"path target is not primitive: {'.'.join(s.name for s in steps)}")
     return values
 
 
@@ -81,17 +80,19 @@ def read_values(
     if not path:
         raise TransferError("path must not be empty")
     info = catalog.model.require_class(class_name)
-    dialect = dialect or sniff_dialect(spark, path)
     objects = read_objects(spark, path, catalog.model, dialect).filter(
         (F.col("class_fqn") == class_name) & F.col("tid").isNotNull())
     if tid is not None:
         objects = objects.filter(F.col("tid") == tid)
     if bid is not None:
         objects = objects.filter(F.col("bid") == bid)
+    if not can_match(catalog.model, info, steps):
+        return spark.createDataFrame([], SCHEMA)
+    if len(steps) > MAX_NESTING + 1:
+        found = nodes.values_at(nodes.node_rows(objects, catalog, [class_name]), steps)
+        return found.select("bid", "tid", F.lit(class_name).alias("class_name"), "occurrence", "value")
     parser = Parser(catalog.model, info, dialect, [steps[0].name])
     values = path_values(parser, steps)
-    if values is None:
-        return spark.createDataFrame([], SCHEMA)
     rows = parser.parse(objects).select("bid", "tid", F.posexplode(values).alias("at", "value"))
     return rows.select(
         "bid", "tid", F.lit(class_name).alias("class_name"), (F.col("at") + 1).cast("int").alias("occurrence"), "value")

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from basketlens.functions import geometry as geo
 from basketlens.operators import edits as ed
-from basketlens.operators import importer, introspect, quality, scan, values
+from basketlens.operators import importer, introspect, nodes, quality, scan, values
 from basketlens.plans import shop
 from basketlens.plans.catalog import (
     CLASSES_SCHEMA, GEOMETRY_SCHEMA, MODELS_SCHEMA, PROPERTIES_SCHEMA, Catalog,
@@ -110,6 +110,39 @@ def scan_temporal(spark, sf_dir):
     return rows.select("_tid", "Shipped", F.year("Shipped").alias("shipped_year"))
 
 
+@query(ORACLES["scan_order_typed"])
+def scan_mixed_dialects(spark, sf_dir):
+    """Orders of a folder whose files are in either dialect."""
+    return _scan(spark, sf_dir, "mixed", ORDER,
+                 ["_bid", "_tid", "_class", "_operation", "Status", "Price", "Placed", "customer"], dialect=None)
+
+
+@query(ORACLES["scan_line_typed"])
+def scan_line_ranges(spark, sf_dir):
+    """Lines of two large files, cut into byte ranges of the text source."""
+    catalog = shop.shared_catalog(spark)
+    objects = read_objects(spark, shop.folder(spark, sf_dir, "stock1"), catalog.model, V23, whole_file_bytes=0)
+    return scan.scan_class(
+        spark, "", LINE, catalog, columns=["_tid", "Number", "Quantity", "Price", "Flag", "Shipped", "order"],
+        dialect=V23, objects=objects)
+
+
+@query("""
+    SELECT 'Shop.Sales.Customer' AS class_fqn, 'N' || c_nationkey AS bid, 2 * count(*) AS n, 2 * count(*) AS with_tid
+    FROM customer GROUP BY 2
+    UNION ALL SELECT 'Shop.Sales.Order', 'Y' || CAST(year(o_orderdate) AS VARCHAR), 2 * count(*), 2 * count(*)
+    FROM orders GROUP BY 2
+    UNION ALL SELECT 'Shop.Sales.Placed', 'P' || o_orderstatus, 2 * count(*), 0 FROM orders GROUP BY 2""")
+def unknown_objects(spark, sf_dir):
+    """Objects in both dialects under a catalog that knows customers only; links have no id."""
+    known = shop.shared_catalog(spark)
+    catalog = Catalog(known.models, known.classes.filter(F.col("class_name").isin("Party", "Customer")),
+                      known.properties, known.geometry)
+    rows = scan.read_all_objects(spark, _all_folders(spark, sf_dir, "sales", "sales24"), catalog, keys_only=True)
+    return rows.groupBy(F.col("xtf_class_fqn").alias("class_fqn"), F.col("xtf_bid").alias("bid")).agg(
+        F.count("*").alias("n"), F.count("xtf_tid").alias("with_tid"))
+
+
 @query("""
     SELECT 'Shop.Sales.Customer' AS class_fqn, count(*) AS n FROM customer
     UNION ALL SELECT 'Shop.Sales.Order', count(*) FROM orders
@@ -201,6 +234,96 @@ def values_of_basket(spark, sf_dir):
     return rows.select("tid", "occurrence", "value")
 
 
+# -------------------------------------------------------------- deep objects
+
+_SEVENTH = "Root" + ".Next" * 6
+
+
+def _deep_objects(spark, sf_dir):
+    catalog = shop.deep_catalog(spark)
+    return catalog, read_objects(spark, shop.folder(spark, sf_dir, "deep"), catalog.model)
+
+
+@query("SELECT 'N' || c_nationkey AS bid, 'd' || c_custkey AS tid, 1 AS occurrence, c_name || '-7' AS value FROM customer")
+def values_deep(spark, sf_dir):
+    """Texts on the seventh level of a structure that holds itself."""
+    return values.read_values(
+        spark, shop.folder(spark, sf_dir, "deep"), shop.CHAIN, f"{_SEVENTH}.Label", shop.deep_catalog(spark)).drop("class_name")
+
+
+@query("""
+    SELECT 'd' || c_custkey AS tid, CAST(i AS INTEGER) AS occurrence, 'm & ' || i AS value
+    FROM customer, generate_series(1, 3) s(i) WHERE i <= c_custkey % 3 + 1""")
+def values_deep_bag(spark, sf_dir):
+    rows = values.read_values(
+        spark, shop.folder(spark, sf_dir, "deep"), shop.CHAIN, f"{_SEVENTH}.Marks[*].Text", shop.deep_catalog(spark))
+    return rows.select("tid", "occurrence", "value")
+
+
+@query("SELECT 'd' || c_custkey AS tid, c_name || '-7' AS label, c_mktsegment AS segment, c_custkey % 3 + 1 AS marks FROM customer")
+def structure_json_deep(spark, sf_dir):
+    """The JSON of a structure has all its levels."""
+    rows = scan.read_class(spark, shop.folder(spark, sf_dir, "deep"), shop.CHAIN, shop.deep_catalog(spark))
+    below = "$" + ".Next" * 6
+    return rows.select(
+        F.col("xtf_tid").alias("tid"), F.get_json_object("Root_json", f"{below}.Label").alias("label"), F.col("Segment").alias("segment"),
+        F.json_array_length(F.get_json_object("Root_json", f"{below}.Marks")).cast("long").alias("marks"))
+
+
+@query(f"""
+    SELECT 'd' || c_custkey AS tid, '{_SEVENTH}.Balance' AS attribute, 'RANGE' AS code FROM customer WHERE c_acctbal < 0
+    UNION ALL
+    SELECT 'd' || c_custkey, '{_SEVENTH}.Marks', 'MULTIPLICITY' FROM customer WHERE c_custkey % 3 = 2""")
+def quality_deep(spark, sf_dir):
+    """Faults on the seventh level."""
+    catalog, objects = _deep_objects(spark, sf_dir)
+    report = quality.validate(spark, "", catalog, objects=objects, checks={"RANGE", "TYPE", "LENGTH", "MULTIPLICITY"})
+    return report.select(F.col("xtf_tid").alias("tid"), F.col("attribute_name").alias("attribute"), "code")
+
+
+@query(f"""
+    SELECT 'd' || c.c_custkey AS tid, '{_SEVENTH}.peer' AS attribute,
+           'no object d' || (c.c_custkey + 1) || ' of class {shop.CHAIN} in basket N' || c.c_nationkey AS message
+    FROM customer c LEFT JOIN customer t ON t.c_custkey = c.c_custkey + 1 AND t.c_nationkey = c.c_nationkey
+    WHERE t.c_custkey IS NULL""")
+def quality_reference_baskets(spark, sf_dir):
+    """References inside structures that name a basket: the target must stand there."""
+    catalog, objects = _deep_objects(spark, sf_dir)
+    report = quality.validate(spark, "", catalog, objects=objects, checks={"REFERENCE"})
+    return report.select(F.col("xtf_tid").alias("tid"), F.col("attribute_name").alias("attribute"), "message")
+
+
+@query(ORACLES["values_deep"])
+def roundtrip_deep(spark, sf_dir):
+    """Objects shredded into nodes, put together from them, written and read again."""
+    catalog, objects = _deep_objects(spark, sf_dir)
+    anew = nodes.rebuilt(nodes.node_rows(objects, catalog, [shop.CHAIN]))
+    output = fresh_path(spark, "deep")
+    shop.write_objects(anew.select("basket_tag", "raw"), output)
+    return values.read_values(spark, output, shop.CHAIN, f"{_SEVENTH}.Label", catalog).drop("class_name")
+
+
+@query("""
+    SELECT 'd' || c_custkey AS tid, l.i AS level, CASE WHEN l.i IN (3, 7) THEN 'x' || l.i || c_custkey ELSE c_name || '-' || l.i END AS label
+    FROM customer, (SELECT CAST(i AS INTEGER) AS i FROM generate_series(2, 7) s(i)) l""")
+def edit_deep(spark, sf_dir):
+    """Labels on two levels of a structure that holds itself, edited; the other levels stay."""
+    catalog = shop.deep_catalog(spark)
+    path = shop.folder(spark, sf_dir, "deep")
+    tid = F.concat(F.lit("d"), F.col("c_custkey").cast("string"))
+    none = F.lit(None).cast("string")
+    parts = [
+        spark.read.parquet(f"{sf_dir}/customer.parquet").select(
+            F.concat(tid, F.lit(f"/{level}")).alias("edit_id"), F.lit(shop.CHAIN).alias("class_name"), tid.alias("tid"), none.alias("bid"),
+            F.lit("Root" + ".Next" * (level - 1) + ".Label").alias("path_expression"),
+            F.concat(F.lit(f"x{level}"), F.col("c_custkey").cast("string")).alias("value"), none.alias("expected"))
+        for level in (3, 7)]
+    audit = cut_lineage(ed.audit_edits(spark, path, parts[0].unionByName(parts[1]), catalog), "audit")
+    rows = nodes.node_rows(ed.edited_objects(spark, path, audit, catalog), catalog, [shop.CHAIN])
+    level = F.size("ordinals") - 1
+    return rows.filter((F.col("name") == "Label") & (level > 1)).select("tid", level.alias("level"), F.col("value").alias("label"))
+
+
 # ------------------------------------------------------- structures and bags
 
 @query(f"SELECT bid, tid, CAST(pos AS INTEGER) AS pos, kind AS \"Kind\", amount AS \"Amount\" FROM ({_CHARGES})")
@@ -256,6 +379,12 @@ def association_scan(spark, sf_dir):
     return _links(spark, sf_dir)
 
 
+@query(ORACLES["association_scan"])
+def links_v24(spark, sf_dir):
+    """Links of the second dialect; they have no id, and their name is a property's too."""
+    return scan.read_association(spark, shop.folder(spark, sf_dir, "sales24"), PLACED, shop.shared_catalog(spark))
+
+
 @query("""
     SELECT c_name AS "Name", c_mktsegment AS "Segment", o_totalprice AS "Price"
     FROM orders JOIN customer ON o_custkey = c_custkey""")
@@ -394,6 +523,37 @@ def edit_written(spark, sf_dir):
     return _edited_columns(scan.scan_class(spark, output, ORDER, shop.shared_catalog(spark), dialect=V23))
 
 
+#: Paths that cannot be edited, by remainder of the order key, and what the audit says of them.
+_REJECTED = [
+    (ORDER, "customer", "roles are not supported: customer"),
+    (ORDER, "Terms", "target property is not primitive: Terms"),
+    (ORDER, "Terms[*].Priority", "path_expression must not contain a wildcard"),
+    (ORDER, "Color", f"target property does not exist: {ORDER}.Color"),
+    (ORDER, "Terms.Color", "target property does not exist: Terms.Color"),
+    (ORDER, "customer.Name", "nested path must start with one structure: customer.Name"),
+    (ORDER, "Price.", "invalid path_expression 'Price.'"),
+    ("Shop.Sales.Offer", "Price", "class_name is not a model class: Shop.Sales.Offer"),
+    (ORDER, "", "class_name, tid and path_expression must not be empty"),
+    (LINE, "Charges.Kind", "nested path must start with one structure: Charges.Kind"),
+]
+
+
+@query(f"""
+    SELECT 'o' || o_orderkey AS edit_id, CASE o_orderkey % {len(_REJECTED)} """
+       + " ".join(f"WHEN {i} THEN '{message.replace(chr(39), chr(39) * 2)}'" for i, (_, _, message) in enumerate(_REJECTED))
+       + " END AS message, 'REJECTED' AS status FROM orders")
+def edit_rejects(spark, sf_dir):
+    """An edit per order whose target is not allowed, of every kind there is."""
+    kind = F.col("o_orderkey") % len(_REJECTED)
+    listed = lambda i: F.array(*[F.lit(x[i]) for x in _REJECTED])[kind.cast("int")]
+    tid, none = F.concat(F.lit("o"), F.col("o_orderkey").cast("string")), F.lit(None).cast("string")
+    edits = spark.read.parquet(f"{sf_dir}/orders.parquet").select(
+        tid.alias("edit_id"), listed(0).alias("class_name"), tid.alias("tid"), none.alias("bid"),
+        listed(1).alias("path_expression"), F.lit("1").alias("value"), none.alias("expected"))
+    audit = ed.audit_edits(spark, shop.folder(spark, sf_dir, "sales"), edits, shop.shared_catalog(spark))
+    return audit.select("edit_id", "message", "status")
+
+
 @query(f"""
     SELECT tid, CASE WHEN n = 0 THEN 'found no matching object: TID=' || tid
                      WHEN n > 1 THEN 'matched more than one object: TID=' || tid

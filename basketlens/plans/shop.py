@@ -100,6 +100,26 @@ def shop_catalog(spark: SparkSession, strict: bool = False) -> Catalog:
         spark, models, classes, properties, geometry, crs_map="Shop.Coord2=EPSG:2056;Shop.Coord3=EPSG:2056")
 
 
+CHAIN, LINK, DEPTH = "Shop.Deep.Chain", "Shop.Link", 7
+
+
+def deep_catalog(spark: SparkSession) -> Catalog:
+    """A class whose structure holds itself; `chains` nests it ``DEPTH`` levels deep."""
+    classes = [
+        _class("", "Mark", "STRUCTURE", 1), _class("", "Link", "STRUCTURE", 2), _class("Deep", "Chain", "CLASS", 3)]
+    properties = [
+        _prop("Shop.Mark", "Text", 1, "String", low=1),
+        _prop(LINK, "Label", 1, "String", low=1, max_len=40),
+        _prop(LINK, "Balance", 2, "Double", bounds=(0.0, None)),
+        _prop(LINK, "Marks", 3, "Structure", high=2, target="Shop.Mark"),
+        _prop(LINK, "Next", 4, "Structure", target=LINK),
+        _prop(LINK, "peer", 5, "Reference", role=True, target=CHAIN),
+        _prop(CHAIN, "Root", 1, "Structure", low=1, target=LINK),
+        _prop(CHAIN, "Segment", 2, "String"),
+    ]
+    return Catalog.from_rows(spark, [("Shop", "1", "urn:shop", "en", "2.3", 1)], classes, properties, [])
+
+
 # ------------------------------------------------------------------ rendering
 
 def _texts(*values: Column) -> Column:
@@ -219,6 +239,26 @@ def tracks(df: DataFrame, dialect: str = V23) -> dict:
                 "Stub": _texts(wrap("POLYLINE", path(stub))), "Bow": _texts(bow), "Knot": _texts(knot)}, rows=df)
 
 
+def chains(df: DataFrame) -> DataFrame:
+    """(basket_tag, raw) of a chain of links per customer; the last one has all the properties."""
+    def element(name: str, *body: Column) -> Column:
+        return F.concat(F.lit(f"<{name}>"), *body, F.lit(f"</{name}>"))
+
+    marks = F.array_join(F.transform(
+        F.sequence(F.lit(1), F.pmod("c_custkey", F.lit(3)) + 1),
+        lambda i: element("Marks", element("Shop.Mark", element("Text", F.concat(F.lit("m &amp; "), i.cast("string")))))), "")
+    peer = F.concat(F.lit('<peer REF="d'), (F.col("c_custkey") + 1).cast("string"), F.lit('" BID="N'),
+                    F.col("c_nationkey").cast("string"), F.lit('"/>'))
+    inner = F.concat(element("Balance", F.col("c_acctbal").cast("string")), marks, peer)
+    for level in range(DEPTH, 0, -1):
+        label = element("Label", F.concat("c_name", F.lit(f"-{level}")))
+        inner = element(LINK, label, inner)
+        inner = element("Root" if level == 1 else "Next", inner)
+    raw = F.concat(F.lit(f'<{CHAIN} TID="d'), F.col("c_custkey").cast("string"), F.lit('">'), inner,
+                   element("Segment", F.col("c_mktsegment")), F.lit(f"</{CHAIN}>"))
+    return df.select(basket_tag(V23, "Shop.Deep", _bid("N", F.col("c_nationkey"))).alias("basket_tag"), raw.alias("raw"))
+
+
 def rendered(source: dict, catalog: Catalog, dialect: str) -> DataFrame:
     """(basket_tag, raw) of a table described by one of the functions above."""
     info: ClassInfo = catalog.model.classes[source["info"]]
@@ -235,20 +275,23 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
-def write_objects(rows: DataFrame, path: str, dialect: str = V23) -> None:
+def write_objects(rows: DataFrame, path: str, dialect: str = V23, files: int | None = None) -> None:
     """Write (basket_tag, raw) rows as transfer files, baskets kept together per task.
 
     A file is read by one task, so a small input gets small files to keep all
-    cores busy and a large one gets files worth a task each.
+    cores busy and a large one gets files worth a task each.  With ``files`` there are so many, however large.
     """
+    if files is not None:
+        rows = rows.repartition(files)
     few_splits = rows.rdd.getNumPartitions() <= 4 * rows.sparkSession.sparkContext.defaultParallelism
     target = SMALL_FILE_BYTES if few_splits else TARGET_FILE_BYTES
     framed = rows.sortWithinPartitions("basket_tag").select(
         F.lit(None).cast("string").alias("header"), F.lit(0).alias("basket_no"), "basket_tag", "raw")
-    write_transfer(framed, path, header_text(dialect, ["Shop"]), target_bytes=target)
+    write_transfer(framed, path, header_text(dialect, ["Shop"]), target_bytes=None if files else target)
 
 
-FOLDERS = ("sales", "stock", "tracks", "tracks24")
+#: Topics that are rendered, and their dialect; ``mixed`` has orders in either one, ``stock1`` few large files.
+FOLDERS = {"sales": V23, "sales24": V24, "mixed": None, "deep": V23, "stock": V23, "stock1": V23, "tracks": V23, "tracks24": V24}
 _RENDERED: dict[tuple[str, str, str], str] = {}
 
 
@@ -259,18 +302,22 @@ def folder(spark: SparkSession, sf_dir: str, name: str) -> str:
         catalog = shared_catalog(spark)
         path = fresh_path(spark, f"shop-{name}")
         table = lambda t: spread(spark.read.parquet(f"{sf_dir}/{t}.parquet"))
-        if name == "sales":
-            parts = [customers(table("customer")), orders(table("orders")), placed(table("orders"))]
-        elif name == "stock":
-            parts = [lines(table("lineitem"))]
+        dialect = FOLDERS[name]
+        if name in ("sales", "sales24"):
+            parts = [(p, dialect) for p in (customers(table("customer")), orders(table("orders")), placed(table("orders")))]
+        elif name == "mixed":
+            parts = [(orders(table("orders").filter(F.col("o_custkey") % 2 == i)), d) for i, d in enumerate((V23, V24))]
+        elif name in ("stock", "stock1"):
+            parts = [(lines(table("lineitem")), dialect)]
+        elif name == "deep":
+            write_objects(chains(table("customer")), f"{path}/part0")
+            parts = []
         else:
-            parts = [tracks(table("embeddings"), V24 if name == "tracks24" else V23)]
-        dialect = V24 if name == "tracks24" else V23
+            parts = [(tracks(table("embeddings"), dialect), dialect)]
         # One write per class: a union of them would be one job too, but the
         # files of a class then could not be told by their order.
-        rows = [rendered(p, catalog, dialect) for p in parts]
-        for i, r in enumerate(rows):
-            write_objects(r, f"{path}/part{i}", dialect)
+        for i, (p, d) in enumerate(parts):
+            write_objects(rendered(p, catalog, d), f"{path}/part{i}", d, files=2 if name == "stock1" else None)
         _RENDERED[key] = f"{path}/*"
     return _RENDERED[key]
 

@@ -1,146 +1,89 @@
 """Object reader: one row per object of every basket, still as raw XML text.
 
-Two routes give the same rows.
-
-* Files up to `WHOLE_FILE_BYTES` are read whole, one row per file, many files
-  per task.  Baskets and objects are cut out with two splits and two generators.
-* If any file of the folder is larger, the text source splits files into byte
-  ranges at a fixed separator, so one basket holding most of the data still
-  spreads over many tasks.  The text of each range becomes one row; an object
-  or a basket that runs over the end of a range is completed from a small table
-  with one row per range.
-
-Cutting comes before XML parsing, so a filter on class, basket or TID drops an
-object before it is parsed.
+Objects are cut by nesting depth (see `cutter`), before any XML parsing, so a filter on class, basket or TID drops an object
+before it is parsed.  Dialect and encoding are those of each file.  The same cutter reads every file:
+
+* If all files of the folder are small, a row is a whole file, many files per task.
+* Otherwise the text source cuts files into byte ranges at any tag, so one basket holding most of the data still
+  spreads over many tasks.  A first scan surveys the ranges; the driver follows their changes, one small row
+  for each range (as it keeps a task for each), and tells each range what is open where it begins.  The parts of an object
+  that runs over a border are put together by a grouping that sees only such parts.
 """
 
 from __future__ import annotations
 
-import os
-import re
-from collections.abc import Iterator
+import pickle
+from collections.abc import Iterator, Sequence
+from itertools import groupby
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from basketlens.errors import TransferError
-from basketlens.functions.markup import IN_TAG, attribute, without_comments
+from basketlens.functions.markup import IN_TAG, attribute
 from basketlens.plans.catalog import Model
+from basketlens.sources import cutter as cut
 
 WHOLE_FILE_BYTES = 64 * 1024 * 1024
 
 V23 = "2.3"
 V24 = "2.4"
 
-# The root element of either dialect.
-_ROOT_END = r"(?s)</(?:[\w.-]+:transfer|TRANSFER)\s*>\s*$"
-
-_NAME = r"[A-Za-z_]\w*"
-#: Up to an attribute of a start tag; whole quoted values are passed over.
-_UP_TO = r"""(?=\s(?:[^<>"']|"[^"]*"|'[^']*')*?"""
 _HEAD = f"^<{IN_TAG}>"
-#: An element from its start tag to the last end tag of just its name.
-_ELEMENT = r"(?s)^(<([\w.:-]+)(?=[\s/>]).*</\2\s*>)"
-
-
-def sniff_dialect(spark: SparkSession, path: str) -> str:
-    """Dialect of the first file, told by its root tag."""
-    head = spark.read.text(path, lineSep=">").limit(20).collect()
-    for row in head:
-        if re.search(r"<TRANSFER\b", row.value):
-            return V23
-        if re.search(r"<[\w.-]+:transfer\b", row.value):
-            return V24
-    raise TransferError(f"no transfer root element found: {path}")
+_ROWS = ("file string, block long, kind string, owner long, basket_no int, pos int, basket_tag string, raw string, "
+         "dialect string")
+_BATCH_BYTES = 4 << 20
 
 
 class Tags:
-    """Tag patterns of one dialect for one model."""
+    """Names of classes and topics by tag, for one model; ``dialect`` None leaves it to each file."""
 
-    def __init__(self, model: Model, dialect: str, prefixes: dict[str, str] | None = None):
-        if dialect not in (V23, V24):
+    def __init__(self, model: Model, dialect: str | None = None, prefixes: dict[str, str] | None = None):
+        if dialect not in (None, V23, V24):
             raise TransferError(f"unknown transfer dialect: {dialect}")
         self.dialect = dialect
         self.prefixes = prefixes or {}
         self.by_tag: dict[str, list[str]] = {}
         for info in model.transferred():
             self.by_tag.setdefault(self.class_tag(info.fqn), []).append(info.fqn)
-        self._property_names = {p.name for c in model.classes.values() for p in c.properties}
-        self._structures = {c.name for c in model.classes.values() if c.kind == "STRUCTURE"}
         self.models = sorted({c.model for c in model.transferred()} or {c.model for c in model.classes.values()})
 
     def prefix(self, model_name: str) -> str:
         return self.prefixes.get(model_name, model_name)
 
     def class_tag(self, fqn: str) -> str:
-        if self.dialect == V23:
-            return fqn
+        """Tag of a class in the second dialect; in the first one it is the full name."""
         model_name, _, rest = fqn.partition(".")
         return f"{self.prefix(model_name)}:{rest.rpartition('.')[2]}"
 
-    @property
-    def basket_start(self) -> str:
-        if self.dialect == V23:
-            return rf"<{_NAME}\.{_NAME}{_UP_TO}\bBID\s*=)"
-        return rf"<[\w.-]+:{_NAME}{_UP_TO}:bid\s*=)(?!{_UP_TO[3:]}:ref\s*=)"
-
-    @property
-    def object_start(self) -> str:
-        """Known class tags, and unknown ones that carry an object id."""
-        if self.dialect == V23:
-            known, unknown = list(self.by_tag), rf"{_NAME}\.{_NAME}\.{_NAME}{_UP_TO}\bTID\s*=)"
-        else:
-            # A class without object id is told by its tag alone, which must
-            # then not be the tag of a property or structure too.
-            known = [
-                t for t in self.by_tag
-                if t.rpartition(":")[2] not in self._property_names | self._structures
-            ]
-            unknown = rf"[\w.-]+:{_NAME}{_UP_TO}:tid\s*=)"
-        names = "|".join(re.escape(t) for t in sorted(known, key=len, reverse=True))
-        return rf"<(?:(?:{names})(?=[\s/>])|{unknown})" if names else rf"<{unknown}"
-
-    @property
-    def separator(self) -> str:
-        """String at which a large file may be cut; every object start has it.
-
-        Models without a common name prefix share only the bracket, which cuts
-        finer than needed but at the same places.
-        """
-        names = [self.prefix(m) for m in self.models]
-        mark = ("." if self.dialect == V23 else ":") if len(names) == 1 else ""
-        return "<" + os.path.commonprefix(names) + mark
+    def _either(self, first: Column, second: Column) -> Column:
+        if self.dialect is not None:
+            return first if self.dialect == V23 else second
+        return F.when(F.col("dialect") == V23, first).otherwise(second)
 
     def class_fqn(self, tag: Column, topic: Column) -> Column:
         """Full class name of an object tag inside a basket of ``topic``."""
-        if self.dialect == V23:
-            return tag
         name = F.substring_index(tag, ":", -1)
         here = F.concat_ws(".", topic, name)
-        entries = [(t, fqns) for t, fqns in self.by_tag.items()]
-        if not entries:
-            return here
-        known = F.create_map(
-            *[F.lit(x) for t, fqns in entries for x in (t, "\x00".join(fqns))]
-        )[tag]
-        candidates = F.split(known, "\x00")
-        return (
-            F.when(candidates.isNull() | F.array_contains(candidates, here), here)
-            .when(F.size(candidates) == 1, candidates[0])
-            .otherwise(here)
-        )
+        second = here
+        if self.by_tag:
+            known = F.create_map(*[F.lit(x) for t, fqns in self.by_tag.items() for x in (t, "\x00".join(fqns))])[tag]
+            candidates = F.split(known, "\x00")
+            second = (
+                F.when(candidates.isNull() | F.array_contains(candidates, here), here)
+                .when(F.size(candidates) == 1, candidates[0])
+                .otherwise(here))
+        return self._either(tag, second)
 
     def topic(self, tag: Column) -> Column:
-        if self.dialect == V23:
-            return tag
         owners = {self.prefix(m): m for m in self.models if self.prefix(m) != m}
         prefix = F.substring_index(tag, ":", 1)
         if owners:
             named = F.create_map(*[F.lit(x) for kv in owners.items() for x in kv])
             prefix = F.coalesce(named[prefix], prefix)
-        return F.concat_ws(".", prefix, F.substring_index(tag, ":", -1))
+        return self._either(tag, F.concat_ws(".", prefix, F.substring_index(tag, ":", -1)))
 
 
 def read_objects(
@@ -152,18 +95,20 @@ def read_objects(
     whole_file_bytes: int = WHOLE_FILE_BYTES,
     strict: bool = True,
 ) -> DataFrame:
-    """(file, block, basket_no, pos, basket_tag, bid, topic, class_fqn, tid, operation, raw).
+    """(file, block, basket_no, pos, basket_tag, bid, topic, class_fqn, tid, operation, raw, dialect).
 
-    ``pos`` orders objects within a basket of one block.  ``strict`` fails on a
+    ``pos`` orders objects within a basket of one block.  ``dialect`` reads only files of that dialect.  ``strict`` fails on a
     truncated file; otherwise complete objects before the damage are returned.
     """
     if not path:
         raise TransferError("path must not be empty")
-    dialect = dialect or sniff_dialect(spark, path)
     tags = Tags(model, dialect, prefixes)
     if largest_file(spark, path) <= whole_file_bytes:
         return objects_of_texts(whole_texts(spark, path), tags, strict)
-    return _objects_of_ranges(spark, path, tags, strict)
+    states = range_states(spark, path, strict)
+    whole = _cut_ranges(spark, path, states, (cut.OBJECT,))
+    parts = _cut_ranges(spark, path, states, (cut.BEGUN, cut.CONTINUED, cut.ENDED))
+    return _named(whole.unionByName(_stitched(parts)), tags)
 
 
 def largest_file(spark: SparkSession, path: str) -> int:
@@ -182,246 +127,209 @@ def whole_texts(spark: SparkSession, path: str) -> DataFrame:
 
 def objects_of_texts(texts: DataFrame, tags: Tags, strict: bool = True) -> DataFrame:
     """Objects of complete files; stateless, so it runs on a file stream as well."""
-    value = without_comments(F.col("value"))
-    if strict:
-        # The end tag is nearly always within the last characters; the whole text
-        # is searched only if it is not.
-        ended = F.right(F.col("value"), F.lit(200)).rlike(_ROOT_END) | F.col("value").rlike(_ROOT_END)
-        value = F.when(ended, value).otherwise(
-            F.raise_error(F.concat(F.lit("transfer is truncated or not well formed: "), F.col("file")))
-        )
-    pieces = _cut_objects(_cut_baskets(texts, value, tags), tags).filter("pos > 0")
-    named = _name_objects(pieces.drop("is_last"), tags)
-    if strict:
-        complete = F.when(F.col("raw").isNotNull(), F.col("raw")).otherwise(
-            F.raise_error(F.concat(
-                F.lit("object has no end tag: "), F.col("file"), F.lit(" class="), F.col("class_fqn"),
-                F.lit(" BID="), F.col("bid"),
-            ))
-        )
-        return named.withColumn("raw", complete)
-    return named.filter(F.col("raw").isNotNull())
-
-
-def _cut_baskets(texts: DataFrame, value: Column, tags: Tags) -> DataFrame:
-    """One row per basket; number 0 is the text before the first basket start."""
-    head = F.regexp_extract("basket", _HEAD, 0)
-    is_basket = F.col("basket").rlike(f"^{tags.basket_start}")
-    # Splitting with a lookahead never yields an empty first piece, so a text
-    # that begins with a basket start has that basket as piece 0.  A split is
-    # never empty; the outer generator only keeps the optimizer from testing
-    # that with a filter, which would split every text twice more.
-    return (
-        texts.select("file", "block", F.split(value, f"(?={tags.basket_start})").alias("cut"))
-        .select("file", "block", F.size("cut").alias("baskets"), F.posexplode_outer("cut").alias("basket_no", "basket"))
-        .select("file", "block", "baskets", "basket_no", "basket", F.when(is_basket, head).alias("basket_tag"))
-        .select(
-            "*", _basket_id(F.col("basket_tag")).alias("bid"),
-            tags.topic(_tag_name(F.col("basket_tag"))).alias("topic"))
-    )
-
-
-def _basket_id(basket_tag: Column) -> Column:
-    return attribute(basket_tag, "BID")
-
-
-def _tag_name(start_tag: Column) -> Column:
-    return F.regexp_extract(start_tag, r"^<([\w.:-]+)", 1)
-
+    return _named(_cut_files(texts, (cut.OBJECT,), strict), tags)
 
-def _cut_objects(baskets: DataFrame, tags: Tags) -> DataFrame:
-    """One row per object start; position 0 is what stands before the first one.
 
-    A space in front makes sure that there is always a piece before the first
-    object, also in a range that begins with an object start.
-    """
-    padded = F.concat(F.lit(" "), F.col("basket"))
-    cut = baskets.select(
-        "file", "block", "baskets", "basket_no", "basket_tag", "bid", "topic",
-        F.split(padded, f"(?={tags.object_start})").alias("cut"),
-    ).select("*", F.size("cut").alias("objects"))
-    return cut.select(
-        "file", "block", "basket_no", "basket_tag", "bid", "topic", "baskets", "objects",
-        F.posexplode_outer("cut").alias("pos", "piece"),
-    ).select(
-        "file", "block", "basket_no", "basket_tag", "bid", "topic", "pos", "piece",
-        ((F.col("basket_no") == F.col("baskets") - 1) & (F.col("pos") == F.col("objects") - 1)).alias("is_last"),
-    )
-
-
-def _name_objects(pieces: DataFrame, tags: Tags) -> DataFrame:
-    """Cut each piece after the object's own end tag and read its start tag."""
-    head = F.regexp_extract("piece", _HEAD, 0)
-    tagged = pieces.select("*", _tag_name(F.col("piece")).alias("tag"), head.alias("head"))
-    raw = F.when(F.col("head").endswith("/>"), F.col("head")).otherwise(
-        F.nullif(F.regexp_extract("piece", _ELEMENT, 1), F.lit("")))
+def _named(rows: DataFrame, tags: Tags) -> DataFrame:
+    """Read the start tags of objects and baskets."""
+    if tags.dialect is not None:
+        rows = rows.filter(F.col("dialect") == tags.dialect)
+    tagged = rows.select(
+        "*", F.regexp_extract("raw", _HEAD, 0).alias("head"), tags.topic(_tag_name(F.col("basket_tag"))).alias("topic"))
     return tagged.select(
-        "file", "block", "basket_no", "pos", "basket_tag", "bid", "topic",
-        tags.class_fqn(F.col("tag"), F.col("topic")).alias("class_fqn"),
+        "file", "block", "basket_no", "pos", "basket_tag", attribute(F.col("basket_tag"), "BID").alias("bid"), "topic",
+        tags.class_fqn(_tag_name(F.col("raw")), F.col("topic")).alias("class_fqn"),
         attribute(F.col("head"), "TID").alias("tid"),
         F.coalesce(F.upper(attribute(F.col("head"), "OPERATION")), F.lit("INSERT")).alias("operation"),
-        raw.alias("raw"), *(["is_last"] if "is_last" in pieces.columns else []),
-    )
-
-
-# ---------------------------------------------------------------- large files
-
-def _join_ranges(separator: str):
-    """Glue the records of each byte range back to one text per range."""
+        "raw", "dialect")
 
-    def glue(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        current: tuple[str, int] | None = None
-        parts: list[str] = []
-
-        def flush():
-            return pa.RecordBatch.from_pydict(
-                {"file": [current[0]], "block": pa.array([current[1]], pa.int64()), "value": [separator.join(parts)]}
-            )
 
+def _tag_name(start_tag: Column) -> Column:
+    return F.regexp_extract(start_tag, r"^<([^\s/>]+)", 1)
+
+
+# ---------------------------------------------------------------- cutting
+
+def _dialect_of(root: bytes | None) -> str | None:
+    """Dialect that a root tag belongs to (fixed names)."""
+    name = b"" if root is None else cut.name_of(root)
+    return V23 if name == b"TRANSFER" else V24 if name.endswith(b":transfer") else None
+
+
+class _Rows:
+    """Collects rows of the wanted kinds as batches of bounded size."""
+
+    def __init__(self, kinds: Sequence[str]):
+        self._kinds, self._rows, self._bytes = kinds, [], 0
+
+    def add(self, file: str, rows: Iterator[cut.Row], source: cut.Cutter, encoding: str | None) -> Iterator[pa.RecordBatch]:
+        for row in rows:
+            if row.kind in self._kinds:
+                text = cut.recoded(row.text, encoding)
+                if row.kind == cut.HEADER:
+                    text = _as_utf8(text)
+                tag = None if row.basket_tag is None else cut.recoded(row.basket_tag, encoding)
+                self._rows.append((file, source.block, row.kind, row.owner, row.basket_no, row.pos, tag, text,
+                                   _dialect_of(source.root)))
+                self._bytes += len(text)
+                if self._bytes >= _BATCH_BYTES:
+                    yield self.batch()
+
+    def batch(self) -> pa.RecordBatch:
+        columns = list(zip(*self._rows, strict=True)) or [()] * 9
+        self._rows, self._bytes = [], 0
+        types = [pa.string(), pa.int64(), pa.string(), pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.string()]
+        names = [f.split()[0] for f in _ROWS.split(", ")]
+        arrays = [pa.array(c, type=t) for c, t in zip(columns, types, strict=True)]
+        try:
+            arrays = [x.cast(pa.string()) if x.type == pa.binary() else x for x in arrays]
+        except pa.ArrowInvalid:
+            raise TransferError(f"text is not in the encoding that it names: {columns[0][0]}") from None
+        return pa.RecordBatch.from_arrays(arrays, names=names)
+
+
+def _as_utf8(header: bytes) -> bytes:
+    """A header whose declaration names the encoding that is written."""
+    head, mark, rest = header.partition(b"?>")
+    known = cut.encoding_of(head + mark)
+    if known is None:
+        return header
+    at = head.index(b"encoding")
+    return head[:at] + b'encoding="UTF-8"' + mark + rest
+
+
+def _checked(file: str, source: cut.Cutter, strict: bool) -> None:
+    if strict and source.torn():
+        raise TransferError(f"transfer is truncated or not well formed: {file}")
+    if strict and _dialect_of(source.root) is None:
+        raise TransferError(f"no transfer root element found: {file}")
+
+
+def _cut_files(texts: DataFrame, kinds: Sequence[str], strict: bool) -> DataFrame:
+    """Rows of whole files (file, block, value)."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out = _Rows(kinds)
         for batch in batches:
-            files, blocks, values = (batch.column(i).to_pylist() for i in range(3))
-            for key, value in zip(zip(files, blocks), values):
-                if key != current:
-                    if current is not None:
-                        yield flush()
-                    current, parts = key, []
-                parts.append(value)
-        if current is not None:
-            yield flush()
-
-    return glue
-
-
-def range_texts(spark: SparkSession, path: str, separator: str) -> DataFrame:
-    """One row per byte range of a file, bounded by the split size of the text source.
+            for file, block, value in zip(*batch.columns, strict=True):
+                file, data = file.as_py(), value.as_py()
+                encoding = cut.encoding_of(data[:512])
+                if encoding in ("utf-16", "utf-32"):
+                    data, encoding = cut.recoded(data, encoding), None
+                source = cut.Cutter(block.as_py())
+                for text in cut.stretches(data.removeprefix(cut.codecs.BOM_UTF8)):
+                    yield from out.add(file, source.feed(text), source, encoding)
+                _checked(file, source, strict)
+        yield out.batch()
 
-    A record belongs to the range its first byte lies in, and a record after
-    the first one of the file follows a separator.  The separator in front is
-    put back, so that concatenating the ranges of a file gives the file.
-    """
-    records = spark.read.text(path, lineSep=separator).select(
-        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), "value"
-    )
-    glued = records.mapInArrow(_join_ranges(separator), "file string, block long, value string")
-    lead = F.when(F.col("block") > 0, F.lit(separator)).otherwise(F.lit(""))
-    return glued.select("file", "block", F.concat(lead, F.col("value")).alias("value"))
-
-
-def _objects_of_ranges(spark: SparkSession, path: str, tags: Tags, strict: bool) -> DataFrame:
-    texts = range_texts(spark, path, tags.separator)
-    value = without_comments(F.col("value"))
-    # A comment that is still open here runs over the end of the range.
-    value = F.when(F.instr(value, "<!--") == 0, value).otherwise(
-        F.raise_error(F.concat(
-            F.lit("comment crosses a split boundary; raise whole_file_bytes: "), F.col("file")))
-    )
-    baskets = _cut_baskets(texts, value, tags)
-    named = _name_objects(_cut_objects(baskets, tags).filter("pos > 0"), tags)
-    if strict:
-        # Only the last object of a range may go on in the next one.
-        unfinished = F.raise_error(F.concat(
-            F.lit("object has no end tag: "), F.col("file"), F.lit(" class="), F.col("class_fqn")))
-        named = named.withColumn(
-            "raw", F.when(F.col("raw").isNull() & ~F.col("is_last"), unfinished).otherwise(F.col("raw")))
-    named = named.drop("is_last").filter(F.col("raw").isNotNull())
-
-    edges = _range_edges(baskets, tags)
-    before = W.partitionBy("file").orderBy("block").rowsBetween(W.unboundedPreceding, -1)
-    carried = edges.select(
-        "file", "block", F.last("last_tag", ignorenulls=True).over(before).alias("carried_tag"))
-    # Only objects before the first basket start of a range need the carried
-    # basket; the join side has one row per range.
-    topic = tags.topic(_tag_name(F.col("basket_tag")))
-    located = (
-        named.join(carried, ["file", "block"], "left")
-        .withColumn("basket_tag", F.coalesce("basket_tag", "carried_tag"))
-        .withColumn("bid", _basket_id(F.col("basket_tag")))
-        .withColumn("topic", topic)
-        .withColumn("class_fqn", tags.class_fqn(_tag_name(F.col("raw")), F.col("topic")))
-        .select(named.columns)
-    )
-    found = located.unionByName(_stitched(edges, tags, strict).select(named.columns))
-    return found.unionByName(_unclosed_files(edges, named)) if strict else found
-
-
-def _unclosed_files(edges: DataFrame, like: DataFrame) -> DataFrame:
-    """No rows, but an error for a file whose last range lacks the root end tag."""
-    last = edges.groupBy("file").agg(F.max_by("closes", "block").alias("closes"))
-    failed = F.raise_error(F.concat(F.lit("transfer is truncated or not well formed: "), F.col("file")))
-    # The error column is the raw text, so no reader of objects can skip it.
-    return last.filter(~F.col("closes")).select(
-        *[(failed if c == "raw" else F.lit(None) if c != "file" else F.col(c)).cast(like.schema[c].dataType).alias(c)
-          for c in like.columns]
-    )
+    return texts.select("file", "block", F.col("value").cast("binary").alias("value")).mapInArrow(run, _ROWS)
 
 
-def _range_edges(baskets: DataFrame, tags: Tags) -> DataFrame:
-    """One small row per range: the unfinished text at its two ends, and its last basket."""
-    pieces = baskets.select(
-        "file", "block", "basket_no", "basket_tag", "basket",
-        F.split(F.concat(F.lit(" "), F.col("basket")), f"(?={tags.object_start})").alias("cut"),
-    ).select(
-        "*", F.size("cut").alias("n"), F.substring(F.element_at("cut", 1), 2, 2**31 - 1).alias("first_piece"),
-        F.element_at("cut", -1).alias("last_piece"),
-    )
-    closed = (
-        F.regexp_extract("last_piece", _HEAD, 0).endswith("/>")
-        | F.col("last_piece").rlike(_ELEMENT)
-    )
-    return (
-        pieces.withColumn("open_tail", F.when((F.col("n") > 1) & ~closed, F.col("last_piece")))
-        .groupBy("file", "block")
-        .agg(
-            F.max("n").alias("max_n"),
-            F.min_by("first_piece", "basket_no").alias("head"),
-            F.min_by(F.col("basket_tag").isNull(), "basket_no").alias("starts_inside"),
-            F.max(F.struct("basket_no", "open_tail"))["open_tail"].alias("tail"),
-            F.max(F.when(F.col("basket_tag").isNotNull(), F.struct("basket_no", "basket_tag")))["basket_tag"]
-            .alias("last_tag"),
-            F.max_by(F.col("basket").rlike(_ROOT_END), "basket_no").alias("closes"),
-        )
-        .select(
-            "file", "block", "last_tag", "tail", "closes",
-            F.when(F.col("starts_inside"), F.col("head")).otherwise("").alias("head"),
-            # A range without any start only continues the object before it.
-            ((F.col("max_n") > 1) | F.col("last_tag").isNotNull()).alias("has_start"),
-        )
-    )
+# ---------------------------------------------------------------- large files
 
+def range_records(spark: SparkSession, path: str) -> DataFrame:
+    """(file, block, value): text between tag brackets, in order within a byte range (``block`` is where it begins).
 
-def _stitched(edges: DataFrame, tags: Tags, strict: bool) -> DataFrame:
-    """Objects cut by a range boundary: an open tail and the heads that follow it."""
-    by_file = W.partitionBy("file").orderBy("block")
-    so_far = by_file.rowsBetween(W.unboundedPreceding, 0)
-    numbered = edges.select(
-        "*", F.last("last_tag", ignorenulls=True).over(so_far).alias("basket_tag"),
-        F.sum(F.col("has_start").cast("int")).over(so_far).alias("group_no"),
-    )
-    # A head closes the group that ran before its range.
-    tails = numbered.filter(F.col("has_start") & F.col("tail").isNotNull()).select(
-        "file", "group_no", F.struct("block", "basket_tag", F.col("tail").alias("text")).alias("tail"))
-    heads = (
-        numbered.filter(F.col("head") != "")
-        .select("file", (F.col("group_no") - F.col("has_start").cast("int")).alias("group_no"), "block", "head")
-        .groupBy("file", "group_no")
-        .agg(F.array_sort(F.collect_list(F.struct("block", "head"))).alias("heads"))
-    )
-    rest = F.array_join(F.transform("heads", lambda h: h["head"]), "")
-    whole = tails.join(heads, ["file", "group_no"], "left").select(
-        "file", "tail.block", F.lit(2**31 - 1).alias("basket_no"), F.lit(2**31 - 1).alias("pos"), "tail.basket_tag",
-        F.concat(F.col("tail.text"), F.coalesce(rest, F.lit(""))).alias("piece"),
-    )
-    whole = whole.select(
-        "*", _basket_id(F.col("basket_tag")).alias("bid"), tags.topic(_tag_name(F.col("basket_tag"))).alias("topic"))
-    named = _name_objects(whole, tags)
-    if strict:
-        return named.withColumn("raw", F.coalesce(F.col("raw"), F.raise_error(
-            F.concat(F.lit("transfer is truncated or not well formed: "), F.col("file")))))
-    return named.filter(F.col("raw").isNotNull())
+    A record belongs to the range its first byte lies in; the range sizes are those of the text source.
+    """
+    return spark.read.text(path, lineSep="<").select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+        F.col("value").cast("binary").alias("value"))
+
+
+def _range_stretches(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple[str, int], bytes]]:
+    """Stretches of each range, the brackets back in front of them."""
+    current, held, size = None, [], 0
+    for batch in batches:
+        blocks = batch.column(1).to_numpy()
+        files = batch.column(0).dictionary_encode()
+        numbers = files.indices.to_numpy()
+        cuts = np.flatnonzero((blocks[1:] != blocks[:-1]) | (numbers[1:] != numbers[:-1])) + 1
+        for begin, end in zip([0, *cuts.tolist()], [*cuts.tolist(), len(blocks)], strict=True):
+            if begin == end:
+                continue
+            key = (files.dictionary[int(numbers[begin])].as_py(), int(blocks[begin]))
+            if key != current:
+                if held:
+                    yield current, b"<".join(held)
+                # Only the first record of a file follows no bracket.
+                current, held, size = key, [b""] if key[1] else [], 0
+            values = batch.column(2).slice(begin, end - begin).to_pylist()
+            held += values
+            size += sum(map(len, values))
+            if size >= cut.STRETCH:
+                yield current, b"<".join(held)
+                held, size = [b""], 0
+    if held:
+        yield current, b"<".join(held)
+
+
+def _survey(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for (file, block), group in groupby(_range_stretches(batches), key=lambda x: x[0]):
+        survey, head = cut.Survey(block), b""
+        for _, text in group:
+            if not block and len(head) < 512:
+                head += text[:512]
+                text = text.removeprefix(cut.codecs.BOM_UTF8)
+            survey.feed(text)
+        yield pa.RecordBatch.from_pydict({
+            "file": [file], "block": pa.array([block], pa.int64()), "head": pa.array([head], pa.binary()),
+            "changes": pa.array([pickle.dumps([_plain(c) for c in survey.changes.values()])], pa.binary())})
+
+
+def _plain(change: cut.Change) -> tuple:
+    return change.closes, [tuple(o) for o in change.opens], change.mode
+
+
+def range_states(spark: SparkSession, path: str, strict: bool = True) -> dict[tuple[str, int], tuple]:
+    """What is open where each range begins: (open elements, mode, encoding) by file and block."""
+    found = range_records(spark, path).mapInArrow(_survey, "file string, block long, head binary, changes binary").collect()
+    states = {}
+    for file, group in groupby(sorted(found, key=lambda r: (r.file, r.block)), key=lambda r: r.file):
+        so_far, encoding = cut.Change(0, (), cut.CONTENT), None
+        for row in group:
+            if row.block == 0:
+                encoding = cut.encoding_of(bytes(row.head))
+                if encoding in ("utf-16", "utf-32"):
+                    raise TransferError(f"a file of this encoding cannot be read in ranges; raise whole_file_bytes: {file}")
+            states[file, row.block] = (so_far.opens, so_far.mode, encoding)
+            closes, opens, mode = pickle.loads(row.changes)[so_far.mode]
+            so_far = cut.followed(so_far, cut.Change(closes, tuple(cut.Open(*o) for o in opens), mode))
+        if strict and (so_far.closes or so_far.opens or so_far.mode != cut.CONTENT):
+            raise TransferError(f"transfer is truncated or not well formed: {file}")
+    return states
+
+
+def _cut_ranges(spark: SparkSession, path: str, states: dict, kinds: Sequence[str]) -> DataFrame:
+    shared = spark.sparkContext.broadcast(states)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out = _Rows(kinds)
+        for (file, block), group in groupby(_range_stretches(batches), key=lambda x: x[0]):
+            opened, mode, encoding = shared.value[file, block]
+            source = cut.Cutter(block, opened, mode)
+            for i, (_, text) in enumerate(group):
+                if not block and not i:
+                    text = text.removeprefix(cut.codecs.BOM_UTF8)
+                yield from out.add(file, source.feed(text), source, encoding)
+            yield from out.add(file, source.rest(), source, encoding)
+        yield out.batch()
+
+    return range_records(spark, path).mapInArrow(run, _ROWS)
+
+
+def _stitched(parts: DataFrame) -> DataFrame:
+    """Objects that run over range borders; one range begins at most one of them."""
+    begun = F.max(F.when(F.col("kind") == cut.BEGUN, F.struct("basket_no", "pos", "basket_tag"))).alias("begun")
+    joined = parts.groupBy("file", "owner").agg(
+        begun, F.max(F.col("kind") == cut.ENDED).alias("ended"), F.max("dialect").alias("dialect"),
+        F.array_sort(F.collect_list(F.struct("block", "raw"))).alias("parts"))
+    return joined.filter("ended AND begun IS NOT NULL").select(
+        "file", F.col("owner").alias("block"), F.lit(cut.OBJECT).alias("kind"), "owner", "begun.basket_no", "begun.pos",
+        "begun.basket_tag", F.array_join("parts.raw", "").alias("raw"), "dialect")
 
 
 def read_layout(
-    spark: SparkSession, path: str, model: Model, dialect: str, prefixes: dict[str, str] | None = None,
+    spark: SparkSession, path: str, model: Model, dialect: str | None = None, prefixes: dict[str, str] | None = None,
     whole_file_bytes: int = WHOLE_FILE_BYTES,
 ) -> DataFrame:
     """(file, block, basket_no, basket_tag, header): the frame that objects stand in.
@@ -429,20 +337,21 @@ def read_layout(
     One row per basket start, also of empty baskets, and one row per file and
     range (number -1) with the text before the first basket of the file.
     """
-    tags = Tags(model, dialect, prefixes)
+    kinds = (cut.BASKET, cut.HEADER)
     if largest_file(spark, path) <= whole_file_bytes:
-        texts = whole_texts(spark, path)
+        rows = _cut_files(whole_texts(spark, path), kinds, strict=False)
+        blocks = None
     else:
-        texts = range_texts(spark, path, tags.separator)
-    baskets = _cut_baskets(texts, without_comments(F.col("value")), tags)
-    starts = baskets.filter(F.col("basket_tag").isNotNull()).select(
+        states = range_states(spark, path, strict=False)
+        rows = _cut_ranges(spark, path, states, kinds)
+        blocks = spark.createDataFrame(list(states), "file string, block long")
+    if dialect is not None:
+        rows = rows.filter(F.col("dialect") == dialect)
+    starts = rows.filter(F.col("kind") == cut.BASKET).select(
         "file", "block", "basket_no", "basket_tag", F.lit(None).cast("string").alias("header"))
-    own = baskets.groupBy("file", "block").agg(
-        F.max(F.when((F.col("block") == 0) & (F.col("basket_no") == 0) & F.col("basket_tag").isNull(),
-                     F.col("basket"))).alias("own"))
-    first = F.first("own", ignorenulls=True).over(
-        W.partitionBy("file").orderBy("block").rowsBetween(W.unboundedPreceding, 0))
-    headers = own.select(
-        "file", "block", F.lit(-1).alias("basket_no"), F.lit(None).cast("string").alias("basket_tag"),
-        first.alias("header"))
-    return starts.unionByName(headers)
+    headers = rows.filter(F.col("kind") == cut.HEADER).select("file", "block", F.col("raw").alias("header"))
+    if blocks is not None:
+        headers = blocks.join(headers.drop("block"), "file", "left").withColumn("header", F.coalesce("header", F.raise_error(
+            F.concat(F.lit("the header does not fit a byte range: "), F.col("file")))))
+    return starts.unionByName(headers.select(
+        "file", "block", F.lit(-1).alias("basket_no"), F.lit(None).cast("string").alias("basket_tag"), "header"))

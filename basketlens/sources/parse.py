@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 
 from basketlens.errors import TransferError
 from basketlens.plans.catalog import ClassInfo, Model, PropertyInfo
-from basketlens.sources.objects import V23
+from basketlens.sources.objects import V23, V24
 
 # Structures can hold structures; deeper levels than this stay raw text.
 MAX_NESTING = 5
@@ -40,13 +40,17 @@ OPTIONS = {
 
 
 class Parser:
-    """Reader schema and canonical expressions of one class in one dialect."""
+    """Reader schema and canonical expressions of one class.
 
-    def __init__(self, model: Model, info: ClassInfo, dialect: str, names: Iterable[str] | None = None,
+    Without a ``dialect`` the objects' own column ``dialect`` decides for each row; a parsed object then has a field for either.
+    """
+
+    def __init__(self, model: Model, info: ClassInfo, dialect: str | None = None, names: Iterable[str] | None = None,
                  keep_unknown: bool = False):
         self.model = model
         self.info = info
         self.dialect = dialect
+        self.dialects = (V23, V24) if dialect is None else (dialect,)
         wanted = None if names is None else set(names)
         self.properties = [p for p in info.properties if wanted is None or p.name in wanted]
         self.keep_unknown = keep_unknown
@@ -57,30 +61,24 @@ class Parser:
 
     # -- reader schema
 
-    def _attribute(self, name: str) -> str:
-        return "_" + (name if self.dialect == V23 else name.lower())
-
-    def _structure_tag(self, info: ClassInfo) -> str:
-        return info.fqn if self.dialect == V23 else info.name
-
-    def schema(self) -> T.StructType:
-        fields = [T.StructField(p.name, self._read_type(p, 0)) for p in self.properties]
+    def schema(self, dialect: str) -> T.StructType:
+        fields = [T.StructField(p.name, self._read_type(p, 0, dialect)) for p in self.properties]
         if self.keep_unknown:
             fields.append(T.StructField(UNKNOWN, _TEXTS))
         if not fields:
-            fields = [T.StructField(self._attribute("TID"), T.StringType())]
+            fields = [T.StructField(_attribute("TID", dialect), T.StringType())]
         return T.StructType(fields)
 
-    def _read_type(self, prop: PropertyInfo, depth: int) -> T.DataType:
+    def _read_type(self, prop: PropertyInfo, depth: int, dialect: str) -> T.DataType:
         if prop.value_kind == "Reference":
-            names = [self._attribute(n) for n in ("REF", "BID", "ORDER_POS")] + ["_VALUE"]
+            names = [_attribute(n, dialect) for n in ("REF", "BID", "ORDER_POS")] + ["_VALUE"]
             return T.ArrayType(T.StructType([T.StructField(n, T.StringType()) for n in names]))
         if prop.value_kind == "Structure" and depth < MAX_NESTING:
             members = self.model.concrete_structures(prop.target_class_fqn)
             if members:
                 return T.ArrayType(T.StructType([
-                    T.StructField(self._structure_tag(m), T.ArrayType(T.StructType(
-                        [T.StructField(p.name, self._read_type(p, depth + 1)) for p in m.properties]
+                    T.StructField(_structure_tag(m, dialect), T.ArrayType(T.StructType(
+                        [T.StructField(p.name, self._read_type(p, depth + 1, dialect)) for p in m.properties]
                         or [T.StructField("_none", T.StringType())]
                     ))) for m in members
                 ]))
@@ -101,27 +99,36 @@ class Parser:
         return self.values_in(F.col(OBJECT), name)
 
     def values_in(self, parsed: Column, name: str) -> Column:
-        return self.canonical(self.info.property(name), parsed[name])
+        prop = self.info.property(name)
+        return F.coalesce(*(self.canonical(prop, parsed[_field(d)][name], d) for d in self.dialects))
 
     def unknown_values(self) -> Column:
-        return F.col(OBJECT)[UNKNOWN]
+        return self.unknown_in(F.col(OBJECT))
+
+    def unknown_in(self, parsed: Column) -> Column:
+        return F.coalesce(*(parsed[_field(d)][UNKNOWN] for d in self.dialects))
 
     def from_xml(self, raw: Column) -> Column:
-        return F.from_xml(raw, self.schema(), OPTIONS)
+        """A struct with a field for each dialect; that of another dialect than the object's is NULL."""
+        def read(dialect: str) -> Column:
+            text = raw if self.dialect is not None else F.when(F.col("dialect") == dialect, raw)
+            return F.from_xml(text, self.schema(dialect), OPTIONS).alias(_field(dialect))
+
+        return F.struct(*(read(d) for d in self.dialects))
 
-    def canonical(self, prop: PropertyInfo, value: Column, depth: int = 0) -> Column:
+    def canonical(self, prop: PropertyInfo, value: Column, dialect: str, depth: int = 0) -> Column:
         if prop.value_kind == "Reference":
-            ref, bid, order = (self._attribute(n) for n in ("REF", "BID", "ORDER_POS"))
+            ref, bid, order = (_attribute(n, dialect) for n in ("REF", "BID", "ORDER_POS"))
             return F.transform(value, lambda r: F.struct(
                 F.coalesce(r[ref], r["_VALUE"], F.lit("")).alias("ref"), r[bid].alias("bid"), r[order].alias("order"),
             ))
         if prop.value_kind == "Structure" and depth < MAX_NESTING:
             members = self.model.concrete_structures(prop.target_class_fqn)
             if members:
-                return self._flattened(members, value, depth)
+                return self._flattened(members, value, dialect, depth)
         return value
 
-    def _flattened(self, members: list[ClassInfo], wrappers: Column, depth: int) -> Column:
+    def _flattened(self, members: list[ClassInfo], wrappers: Column, dialect: str, depth: int) -> Column:
         fields = union_fields(members)
         element_type = canonical_type(self.model, members, depth)
         empty = F.array().cast(element_type)
@@ -132,7 +139,7 @@ class Parser:
                 for name, p in fields.items():
                     own = m.property(name)
                     columns.append(
-                        (self.canonical(own, e[name], depth + 1) if own is not None
+                        (self.canonical(own, e[name], dialect, depth + 1) if own is not None
                          else F.lit(None).cast(property_type(self.model, p, depth + 1))).alias(name))
                 return F.struct(*columns)
 
@@ -140,7 +147,7 @@ class Parser:
 
         def elements(wrapper: Column) -> Column:
             lists = [
-                F.coalesce(F.transform(wrapper[self._structure_tag(m)], builder(m)).cast(element_type), empty)
+                F.coalesce(F.transform(wrapper[_structure_tag(m, dialect)], builder(m)).cast(element_type), empty)
                 for m in members
             ]
             return F.concat(*lists) if len(lists) > 1 else lists[0]
@@ -148,6 +155,18 @@ class Parser:
         return F.flatten(F.transform(wrappers, elements))
 
 
+def _field(dialect: str) -> str:
+    return "v" + dialect.replace(".", "")
+
+
+def _attribute(name: str, dialect: str) -> str:
+    return "_" + (name if dialect == V23 else name.lower())
+
+
+def _structure_tag(info: ClassInfo, dialect: str) -> str:
+    return info.fqn if dialect == V23 else info.name
+
+
 def union_fields(members: list[ClassInfo]) -> dict[str, PropertyInfo]:
     fields: dict[str, PropertyInfo] = {}
     for m in members:

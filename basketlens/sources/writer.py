@@ -117,26 +117,51 @@ def basket_tag(dialect: str, topic: str, bid: Column) -> Column:
 
 def write_transfer(
     rows: DataFrame, path: str, header: str | None = None, mode: str = "errorifexists",
-    target_bytes: int = TARGET_FILE_BYTES,
+    target_bytes: int | None = TARGET_FILE_BYTES,
 ) -> None:
     """Write (header, basket_no, basket_tag, raw) rows as transfer files.
 
     Rows of one basket should follow each other within a partition.  A row with
-    a header starts a new file; rows without any need the ``header`` argument.
+    a header starts a new file; rows without any need the ``header`` argument.  Without ``target_bytes`` each task
+    streams its rows into one file, however large, which needs the argument too.
     """
-    framed = rows.select("header", "basket_no", "basket_tag", "raw").mapInArrow(
-        _framer(header, target_bytes), "value string")
+    rows = rows.select("header", "basket_no", "basket_tag", "raw")
+    if target_bytes is None:
+        rows.mapInArrow(_streamer(header), "value string").write.mode(mode).text(path)
+        return
+    framed = rows.mapInArrow(_framer(header, target_bytes), "value string")
     framed.write.mode(mode).option("maxRecordsPerFile", 1).text(path)
 
 
+def _end_tag(start_tag: str) -> str:
+    return "" if start_tag.endswith("/>") else f"</{re.match(r'<([^\s/>]+)', start_tag).group(1)}>"
+
+
+def _streamer(header: str):
+    """Lines of one file per task."""
+    def stream(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        basket = None
+        for batch in batches:
+            out = [header] if basket is None and batch.num_rows else []
+            for _, number, tag, raw in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if tag is not None and basket != (number, tag):
+                    out += ([_end_tag(basket[1])] if basket else []) + [tag]
+                    basket = (number, tag)
+                if raw is not None:
+                    out.append(raw)
+            yield pa.RecordBatch.from_pydict({"value": pa.array(out, pa.string())})
+        if basket is not None:
+            yield pa.RecordBatch.from_pydict({"value": [_end_tag(basket[1]) + footer_text(header)]})
+
+    return stream
+
+
 def _framer(default_header: str | None, target_bytes: int):
     def frame(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         header, parts, size, basket = default_header, [], 0, None
 
         def close_basket():
-            tag = basket[1]
-            if not tag.endswith("/>"):
-                parts.append(f"</{re.match(r'<([^\s/>]+)', tag).group(1)}>\n")
+            parts.append(_end_tag(basket[1]) + "\n")
 
         def finished():
             if basket is not None:

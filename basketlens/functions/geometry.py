@@ -15,6 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from basketlens.functions.rings import why_invalid
 from basketlens.functions.typing import DOUBLE
 
 DEFAULT_ARC_TOLERANCE = 0.1
@@ -324,45 +325,14 @@ def contains_point(parts: Column, px: Column, py: Column) -> Column:
         rings, F.lit(0), lambda n, r: n + crossings(r)) % 2 == 1)
 
 
-def ring_simple(line: Column) -> Column:
-    """No two non-adjacent edges of a closed ring touch."""
-    def side(o: Column, a: Column, b: Column) -> Column:
-        return F.signum((a["x"] - o["x"]) * (b["y"] - o["y"]) - (a["y"] - o["y"]) * (b["x"] - o["x"]))
-
-    def between(o: Column, a: Column, b: Column) -> Column:
-        return (
-            o["x"].between(F.least(a["x"], b["x"]), F.greatest(a["x"], b["x"]))
-            & o["y"].between(F.least(a["y"], b["y"]), F.greatest(a["y"], b["y"])))
-
-    def meet(e: Column, f: Column) -> Column:
-        s1, s2 = side(e["a"], e["b"], f["a"]), side(e["a"], e["b"], f["b"])
-        s3, s4 = side(f["a"], f["b"], e["a"]), side(f["a"], f["b"], e["b"])
-        crossing = (s1 * s2 < 0) & (s3 * s4 < 0)
-        touching = (
-            ((s1 == 0) & between(f["a"], e["a"], e["b"])) | ((s2 == 0) & between(f["b"], e["a"], e["b"]))
-            | ((s3 == 0) & between(e["a"], f["a"], f["b"])) | ((s4 == 0) & between(e["b"], f["a"], f["b"])))
-        return crossing | touching
-
-    def bound(edges: Column) -> Column:
-        n = F.size(edges)
-        return ~F.exists(
-            F.transform(edges, lambda e, i: F.exists(
-                F.transform(edges, lambda f, j: (j > i + 1) & ~((i == 0) & (j == n - 1)) & meet(e, f)),
-                lambda hit: hit)),
-            lambda hit: hit)
-
-    return F.get(F.transform(F.array(_edges(line)), bound), F.lit(0))
-
-
 def is_valid(parts: Column, kind: str) -> Column:
-    """Part of the OGC rules: rings closed with four points and without self-contact.
+    """Rings closed with four points and without self-contact, inner rings inside the outer one and apart, parts apart.
 
-    Not checked: whether an inner ring lies inside the outer one, and whether
-    parts overlap.
+    `rings.why_invalid` names the rule.  Not checked: whether the interior is connected.
     """
     if "POLYGON" not in SQL_TYPES[kind]:
         return F.when(parts.isNotNull(), True)
-    return ~any_line(parts, lambda l: (F.size(l) < 4) | ~ring_closed(l) | ~ring_simple(l))
+    return F.when(parts.isNotNull(), why_invalid(parts).isNull())
 
 
 # ---------------------------------------------------------------- text, binary

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from basketlens.errors import TransferError
 from basketlens.plans.catalog import CRS_SCHEMA, Catalog
+from basketlens.sources.session import cut_lineage
 
 AREA_KINDS = ("AREA", "MULTIAREA")
 MULTI_KINDS = ("MULTICOORD", "MULTIPOLYLINE", "DIRECTED_MULTIPOLYLINE", "MULTISURFACE", "MULTIAREA")
@@ -39,24 +40,36 @@ def topics(catalog: Catalog, model: str | None = None) -> DataFrame:
 
 
 def ancestors(catalog: Catalog, class_name: str | None = None) -> DataFrame:
-    """(class_fqn, ancestor_fqn, depth): every class with itself and all its bases."""
-    start = catalog.visible_classes().select("class_fqn", "topic_name", "class_name", "base_class_fqn")
+    """(class_fqn, ancestor_fqn, depth): every class with itself and all its bases.
+
+    Pointer doubling: each round joins what is known with pointers twice as long, so the number of rounds is the
+    logarithm of the deepest hierarchy.  Every round is written.  A class that is its own base, however far up, is refused by name.
+    """
+    start = catalog.visible_classes().select("class_fqn", "topic_name", "class_name")
     if class_name:
         start = start.filter(_class_matches(class_name))
-    links = catalog.classes.select(F.col("class_fqn").alias("link_fqn"), F.col("base_class_fqn").alias("link_base"))
-    return catalog.spark.sql(
-        """
-        WITH RECURSIVE up (class_fqn, ancestor_fqn, next_fqn, depth) AS (
-            SELECT class_fqn, class_fqn, base_class_fqn, 0 FROM {start}
-            UNION ALL
-            SELECT up.class_fqn, links.link_fqn, links.link_base, up.depth + 1
-            FROM up JOIN {links} AS links ON up.next_fqn = links.link_fqn
-        )
-        SELECT class_fqn, ancestor_fqn, depth FROM up
-        """,
-        start=start,
-        links=links,
-    )
+    return _all_ancestors(catalog).join(start.select("class_fqn").distinct(), "class_fqn", "left_semi")
+
+
+def _all_ancestors(catalog: Catalog) -> DataFrame:
+    """The table of all classes, worked out once for a catalog."""
+    if catalog.known_ancestors is None:
+        names = catalog.classes.select("class_fqn").distinct()
+        links = catalog.classes.select("class_fqn", F.col("base_class_fqn").alias("far")).join(
+            names.withColumnRenamed("class_fqn", "far"), "far").select("class_fqn", "far").distinct()
+        known = names.select("class_fqn", F.col("class_fqn").alias("ancestor_fqn"), F.lit(0).alias("depth"))
+        jump, length, size = cut_lineage(links, "bases"), 1, names.count()
+        while not jump.isEmpty():
+            if length >= size:  # a chain of so many bases names one of them twice
+                raise TransferError(f"class is its own base: {jump.agg(F.min('class_fqn')).first()[0]}")
+            further = known.join(jump.select(F.col("class_fqn").alias("ancestor_fqn"), "far"), "ancestor_fqn").select(
+                "class_fqn", F.col("far").alias("ancestor_fqn"), (F.col("depth") + length).alias("depth"))
+            known = cut_lineage(known.unionByName(further), "ancestors")
+            jump = cut_lineage(jump.join(jump.select(F.col("class_fqn").alias("far"), F.col("far").alias("next")), "far").select(
+                "class_fqn", F.col("next").alias("far")), "bases")
+            length *= 2
+        catalog.known_ancestors = known
+    return catalog.known_ancestors
 
 
 def _class_matches(class_name: str) -> Column:

@@ -170,6 +170,7 @@ class Catalog:
         self.geometry = geometry
         self.crs_map = crs_map
         self.builtin_models = tuple(builtin_models)
+        self.known_ancestors: DataFrame | None = None
 
     @property
     def spark(self) -> SparkSession:

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from basketlens.functions import geometry as geo
+from basketlens.functions import rings, wkb
 from basketlens.operators import edits as ed
 from basketlens.operators import importer, introspect, nodes, quality, scan, values
 from basketlens.plans import shop
@@ -19,6 +20,7 @@ from basketlens.plans.catalog import (
     CLASSES_SCHEMA, GEOMETRY_SCHEMA, MODELS_SCHEMA, PROPERTIES_SCHEMA, Catalog,
 )
 from basketlens.plans.shop import CUSTOMER, LINE, ORDER, PLACED, TRACK
+from basketlens.sources.files import file_digests
 from basketlens.sources.objects import V23, V24, read_objects
 from basketlens.sources.parse import Parser
 from basketlens.sources.session import cut_lineage, fresh_path
@@ -579,6 +581,19 @@ def edit_conflict(spark, sf_dir):
     return audit.select("tid", "message")
 
 
+@query("SELECT true AS input_same, true AS output_differs FROM orders LIMIT 1")
+def input_unchanged(spark, sf_dir):
+    """Digests of all files before and after an edit that writes another folder."""
+    path, output = shop.folder(spark, sf_dir, "sales"), fresh_path(spark, "edited")
+    before = cut_lineage(file_digests(spark, path), "digests")
+    ed.apply_edits(spark, path, output, _order_edits(spark, sf_dir), shop.shared_catalog(spark), strict=False, dialect=V23)
+    same = before.join(file_digests(spark, path), ["file", "length", "md5"], "full_outer")
+    kept = before.join(file_digests(spark, output).select("md5"), "md5", "left_semi")
+    files = before.count()
+    return same.agg((F.count("*") == files).alias("input_same")).select(
+        "input_same", F.lit(kept.count() < files).alias("output_differs"))
+
+
 # ----------------------------------------------------- writing, import, ingest
 
 @query(ORACLES["scan_order_typed"])
@@ -1039,6 +1054,39 @@ def geometry_wkb(spark, sf_dir):
         F.length("Path").alias("path_bytes"), F.length("Zone").alias("zone_bytes"))
 
 
+@query(f"""
+    SELECT 't' || vec_id AS tid, 'path' AS shape, CAST(i AS INTEGER) AS i, CAST(embedding[2 * i + 1] AS DOUBLE) AS x,
+           CAST(embedding[2 * i + 2] AS DOUBLE) AS y, CAST(NULL AS DOUBLE) AS z
+    FROM embeddings, LATERAL (SELECT unnest(generate_series(0, len(embedding) // 2 - 1)) AS i)
+    UNION ALL
+    SELECT 't' || vec_id, 'peak', 0, {_ord(1)}, {_ord(2)}, {_ord(3)} FROM embeddings""")
+def geometry_wkb_read(spark, sf_dir):
+    """Every ordinate of binary lines and points, read back from the bytes."""
+    rows = _shapes(spark, sf_dir, "Peak", "Path", form="wkb")
+
+    def points(name: str, column: str):
+        line = F.get(F.get(wkb.from_wkb(F.col(column)), F.lit(0)), F.lit(0))
+        return rows.select(F.col("_tid").alias("tid"), F.lit(name).alias("shape"), F.posexplode(line).alias("i", "p")).select(
+            "tid", "shape", "i", "p.x", "p.y", "p.z")
+
+    return points("path", "Path").unionByName(points("peak", "Peak"))
+
+
+@query("""
+    SELECT 't' || vec_id AS tid, CASE WHEN label = 0 THEN 'ring touches itself' END AS within,
+           CASE WHEN label = 0 THEN 'ring touches itself' ELSE 'inner ring is not inside the outer one' END AS around,
+           CASE WHEN label = 0 THEN 'ring touches itself' ELSE 'parts overlap' END AS beside
+    FROM embeddings""")
+def geometry_nesting(spark, sf_dir):
+    """The outer rings of two surfaces as hole, as shell and as two parts of one geometry; the first rule that breaks."""
+    outer = lambda name: F.get(F.get(F.col(name), F.lit(0)), F.lit(0))
+    zone, knot = outer("Zone"), outer("Knot")
+    return _shapes(spark, sf_dir, "Knot", "Zone").select(
+        F.col("_tid").alias("tid"), rings.why_invalid(F.array(F.array(zone, knot))).alias("within"),
+        rings.why_invalid(F.array(F.array(knot, zone))).alias("around"),
+        rings.why_invalid(F.array(F.array(zone), F.array(knot))).alias("beside"))
+
+
 @query(f"""
     SELECT 't' || vec_id AS tid, 'POINT Z' AS shape, round({_ord(1)}, 9) AS x, round({_ord(2)}, 9) AS y,
            round({_ord(3)}, 9) AS z

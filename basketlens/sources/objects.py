@@ -130,7 +130,23 @@ def objects_of_texts(texts: DataFrame, tags: Tags, strict: bool = True) -> DataF
     return _named(_cut_files(texts, (cut.OBJECT,), strict), tags)
 
 
-def _named(rows: DataFrame, tags: Tags) -> DataFrame:
+def read_documents(
+    spark: SparkSession, path: str, model: Model, dialect: str | None = None, whole_file_bytes: int = WHOLE_FILE_BYTES
+) -> DataFrame | None:
+    """Rows of `read_objects` and, in their places, rows of headers (``header``) and baskets; file after file, in order.
+
+    None if a file is cut into ranges, whose parts are not in order.
+    """
+    if largest_file(spark, path) > whole_file_bytes:
+        return None
+    rows = _cut_files(whole_texts(spark, path), (cut.HEADER, cut.BASKET, cut.OBJECT), strict=True)
+    is_object = F.col("kind") == cut.OBJECT
+    shown = rows.withColumn("header", F.when(F.col("kind") == cut.HEADER, F.col("raw"))).withColumn(
+        "raw", F.when(is_object, F.col("raw")))
+    return _named(shown, Tags(model, dialect), "header")
+
+
+def _named(rows: DataFrame, tags: Tags, *more: str) -> DataFrame:
     """Read the start tags of objects and baskets."""
     if tags.dialect is not None:
         rows = rows.filter(F.col("dialect") == tags.dialect)
@@ -141,7 +157,7 @@ def _named(rows: DataFrame, tags: Tags) -> DataFrame:
         tags.class_fqn(_tag_name(F.col("raw")), F.col("topic")).alias("class_fqn"),
         attribute(F.col("head"), "TID").alias("tid"),
         F.coalesce(F.upper(attribute(F.col("head"), "OPERATION")), F.lit("INSERT")).alias("operation"),
-        "raw", "dialect")
+        "raw", "dialect", *more)
 
 
 def _tag_name(start_tag: Column) -> Column:

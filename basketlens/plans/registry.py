@@ -236,6 +236,78 @@ def values_of_basket(spark, sf_dir):
     return rows.select("tid", "occurrence", "value")
 
 
+@query("""
+    SELECT 'o' || o_orderkey AS _tid, o_orderstatus = 'F' AS "Flag",
+           printf('%02d:%02d:30', CAST(o_orderkey % 24 AS INTEGER), CAST(o_orderkey % 60 AS INTEGER)) AS "At",
+           CAST(o_totalprice AS DECIMAL(15,2)) AS "Amount",
+           CASE WHEN o_orderpriority LIKE '1%' THEN NULL WHEN o_orderpriority LIKE '2%' THEN '' ELSE o_orderpriority END AS "Note",
+           '{"Twice":["1","2"],"Extra":["e' || o_custkey || '"],"Box":["<Extra>e' || o_custkey || '</Extra>"]}' AS residual
+    FROM orders""")
+def scan_scalars(spark, sf_dir):
+    """Boolean, time, decimal; missing and empty text; unknown properties, direct children only."""
+    rows = scan.scan_class(
+        spark, shop.folder(spark, sf_dir, "scalars"), shop.SAMPLE, shop.scalar_catalog(spark), temporal=True, geometry_errors="null")
+    return rows.select("_tid", "Flag", "At", "Amount", "Note", F.regexp_replace(
+        "_unsupported_json", r'"Line":\[\{"_error":"[^"]*"\}\],?', "").alias("residual"))
+
+
+@query("""
+    SELECT 'o' || o_orderkey AS tid, o_orderkey % 2 = 1 AS decoded,
+           CASE WHEN o_orderkey % 2 = 0 THEN 'unsupported geometry element SPLINE' END AS error
+    FROM orders""")
+def geometry_unsupported(spark, sf_dir):
+    """A line form that is not supported is never NULL without a word."""
+    rows = scan.scan_class(
+        spark, shop.folder(spark, sf_dir, "scalars"), shop.SAMPLE, shop.scalar_catalog(spark), geometry_errors="null",
+        columns=["_tid", "Line", "_unsupported_json"])
+    return rows.select(F.col("_tid").alias("tid"), F.col("Line").isNotNull().alias("decoded"),
+                       F.get_json_object("_unsupported_json", "$.Line[0]._error").alias("error"))
+
+
+_ERRORS = [
+    ("boolean", "property=Note invalid boolean lexical value"),
+    ("several", "property=Twice expected one value but found 2"),
+    ("class", "class_name is not a model class: Shop.Scalars.Other"),
+    ("short class", "class_name must be fully qualified as Model.Topic.Class: Sample"),
+    ("path", "invalid path_expression 'Note['"),
+    ("target", "path target is not primitive: Root"),
+    ("reserved", "property name collides with a reserved result column: _tid"),
+    ("same folder", "input and output must be different files"),
+    ("empty output", "input and output must not be empty"),
+]
+
+
+@query("SELECT * FROM (VALUES " + ", ".join(
+    f"('{case}', '{message.replace(chr(39), chr(39) * 2)}')" for case, message in _ERRORS) + ") v(kind, message)")
+def error_messages(spark, sf_dir):
+    """What a scan, a path and an edit of the whole folder say when they refuse."""
+    path = shop.folder(spark, sf_dir, "scalars")
+    sample = lambda **kinds: scan.scan_class(
+        spark, path, shop.SAMPLE, shop.scalar_catalog(spark, **kinds), columns=[n for n in kinds]).agg(
+        *(F.max(F.col(n)) for n in kinds)).collect()
+    edits = _order_edits(spark, sf_dir)
+    apply = lambda output: ed.apply_edits(spark, path, output, edits, shop.scalar_catalog(spark))
+    tries = {
+        "boolean": lambda: sample(Note="Boolean"), "several": lambda: sample(Twice="String"),
+        "class": lambda: scan.scan_class(spark, path, "Shop.Scalars.Other", shop.scalar_catalog(spark)),
+        "short class": lambda: scan.scan_class(spark, path, "Sample", shop.scalar_catalog(spark)),
+        "path": lambda: values.read_values(spark, path, shop.SAMPLE, "Note[", shop.scalar_catalog(spark)),
+        "target": lambda: values.read_values(spark, path, shop.CHAIN, "Root", shop.deep_catalog(spark)),
+        "reserved": lambda: scan.scan_class(spark, path, shop.SAMPLE, shop.scalar_catalog(spark, _tid="String")),
+        "same folder": lambda: apply(path), "empty output": lambda: apply(""),
+    }
+    told = []
+    for kind, attempt in tries.items():
+        expected = dict(_ERRORS)[kind]
+        try:
+            attempt()
+            message = "no error"
+        except Exception as error:  # the message is the result
+            message = expected if expected in str(error) else str(error)[:500]
+        told.append((kind, message))
+    return spark.createDataFrame(told, "kind string, message string")
+
+
 # -------------------------------------------------------------- deep objects
 
 _SEVENTH = "Root" + ".Next" * 6
@@ -594,6 +666,36 @@ def input_unchanged(spark, sf_dir):
         "input_same", F.lit(kept.count() < files).alias("output_differs"))
 
 
+@query("SELECT least(100, count(*)) AS shown, count(*) AS total FROM customer WHERE c_acctbal < 0")
+def quality_capped(spark, sf_dir):
+    """At most so many messages are shown, the total stays."""
+    report = _faults(spark, sf_dir, "sales", "RANGE")
+    return quality.capped(report, 100).agg(F.count("*").alias("shown")).select("shown", F.lit(report.count()).alias("total"))
+
+
+@query(f"""
+    SELECT 'o' || o_orderkey AS _tid, o_totalprice AS "Price" FROM orders ORDER BY o_totalprice DESC, 'o' || o_orderkey LIMIT 25""")
+def sort_limit(spark, sf_dir):
+    rows = _scan(spark, sf_dir, "sales", ORDER, ["_tid", "Price"])
+    return rows.orderBy(F.col("Price").desc(), "_tid").limit(25)
+
+
+@query("""
+    SELECT 'sales__customer' AS table_name, 2 * count(*) AS n FROM customer
+    UNION ALL SELECT 'sales__order', 2 * count(*) FROM orders UNION ALL SELECT 'sales__placed', 2 * count(*) FROM orders""")
+def import_schema(spark, sf_dir):
+    """Tables of a schema: created, left alone by a second creation, appended to."""
+    location = fresh_path(spark, "schema")
+    schema = "imported_" + location.rpartition("-")[2]
+    spark.sql(f"CREATE SCHEMA `{schema}` LOCATION '{location}'")
+    path, catalog = shop.folder(spark, sf_dir, "sales"), shop.shared_catalog(spark)
+    for mode in ("create", "create", "append"):
+        importer.import_transfer(spark, path, catalog, schema, mode=mode, dialect=V23)
+    parts = [spark.table(f"`{schema}`.`{t}`").agg(F.lit(t).alias("table_name"), F.count("*").alias("n"))
+             for t in ("sales__customer", "sales__order", "sales__placed")]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
 # ----------------------------------------------------- writing, import, ingest
 
 @query(ORACLES["scan_order_typed"])
@@ -776,6 +878,31 @@ def catalog_properties(spark, sf_dir):
     return introspect.properties(table_catalog(spark, sf_dir))
 
 
+@query(ORACLES["catalog_properties"])
+def catalog_saved(spark, sf_dir):
+    """The catalog written as tables and loaded from them, one source named twice."""
+    path = fresh_path(spark, "catalog")
+    table_catalog(spark, sf_dir).save(path)
+    return introspect.properties(Catalog.load(spark, [path, f"{path}/"]))
+
+
+@query(_CATALOG_SQL + """
+    SELECT h.class_fqn AS holder_fqn, h.property_name AS holder_property, h.owner_fqn AS structure_name,
+           p.property_name AS attribute_name, p.c_mktsegment AS type_name,
+           CASE p.c_mktsegment WHEN 'MACHINERY' THEN 'GEOMETRY' WHEN 'AUTOMOBILE' THEN 'BIGINT' WHEN 'BUILDING' THEN 'DOUBLE'
+                WHEN 'FURNITURE' THEN 'UNSUPPORTED_JSON' ELSE 'VARCHAR' END AS logical_type, p.kind,
+           CAST(CASE WHEN p.c_acctbal > 0 THEN 1 ELSE 0 END AS BIGINT) AS card_min, CAST(1 AS BIGINT) AS card_max,
+           CASE WHEN p.c_mktsegment = 'FURNITURE' THEN '["' || p.c_name || '","FURNITURE"]' END AS enum_values_json
+    FROM ordered h JOIN ordered p ON p.class_fqn = h.owner_fqn WHERE h.c_mktsegment = 'FURNITURE'""")
+def catalog_structures(spark, sf_dir):
+    """Attributes of the structures that properties hold; furniture customers are such properties."""
+    known = table_catalog(spark, sf_dir)
+    holds = F.col("type_name") == "FURNITURE"
+    properties = known.properties.withColumn("value_kind", F.when(holds, "Structure").otherwise(F.col("value_kind"))).withColumn(
+        "target_class_fqn", F.when(holds, F.col("owner_fqn")).otherwise(F.col("target_class_fqn")))
+    return introspect.structures(Catalog(known.models, known.classes, properties, known.geometry), "")
+
+
 @query(_CATALOG_SQL + """
     SELECT class_fqn, property_name, owner_fqn || '.' || property_name AS property_fqn,
            CASE WHEN c_acctbal > 0 THEN 'SURFACE' ELSE 'POLYLINE' END AS geometry_kind,

@@ -120,6 +120,19 @@ def deep_catalog(spark: SparkSession) -> Catalog:
     return Catalog.from_rows(spark, [("Shop", "1", "urn:shop", "en", "2.3", 1)], classes, properties, [])
 
 
+SAMPLE = "Shop.Scalars.Sample"
+
+
+def scalar_catalog(spark: SparkSession, **kinds: str) -> Catalog:
+    """A class with values of every scalar kind; ``kinds`` replaces some of them."""
+    known = {"Flag": "Boolean", "At": "Time", "Amount": "Decimal", "Note": "String", "Twice": "String", "Line": "Geometry"} | kinds
+    properties = [_prop(SAMPLE, n, i, k) for i, (n, k) in enumerate(known.items(), 1) if n != "Twice" or kinds.get("Twice")]
+    properties = [(*p[:4], "decimal(15,2)", *p[5:]) if p[3] == "Decimal" else p for p in properties]
+    line = (SAMPLE, "Line", "POLYLINE", "Shop.Coord2", 2, None, ["STRAIGHTS"], False, False)
+    return Catalog.from_rows(
+        spark, [("Shop", "1", "urn:shop", "en", "2.3", 1)], [_class("Scalars", "Sample", "CLASS", 1)], properties, [line])
+
+
 # ------------------------------------------------------------------ rendering
 
 def _texts(*values: Column) -> Column:
@@ -259,6 +272,27 @@ def chains(df: DataFrame) -> DataFrame:
     return df.select(basket_tag(V23, "Shop.Deep", _bid("N", F.col("c_nationkey"))).alias("basket_tag"), raw.alias("raw"))
 
 
+def samples(df: DataFrame) -> DataFrame:
+    """(basket_tag, raw) of an object per order: missing and empty values, unknown elements, a line form that is not known."""
+    key = F.col("o_orderkey")
+
+    def element(name: str, body: Column) -> Column:
+        return F.concat(F.lit(f"<{name}>"), body, F.lit(f"</{name}>"))
+
+    note = F.when(F.startswith("o_orderpriority", F.lit("1")), "").otherwise(
+        F.when(F.startswith("o_orderpriority", F.lit("2")), "<Note/>").otherwise(element("Note", F.col("o_orderpriority"))))
+    extra = element("Extra", F.concat(F.lit("e"), F.col("o_custkey").cast("string")))
+    line = F.when(key % 2 == 0, "<POLYLINE><SPLINE/></POLYLINE>").otherwise(
+        "<POLYLINE><COORD><C1>0</C1><C2>0</C2></COORD><COORD><C1>1</C1><C2>2</C2></COORD></POLYLINE>")
+    raw = F.concat(
+        F.lit(f'<{SAMPLE} TID="o'), key.cast("string"), F.lit('">'), element("Flag", (F.col("o_orderstatus") == "F").cast("string")),
+        element("At", F.format_string("%02d:%02d:30", key % 24, key % 60)),
+        element("Amount", F.col("o_totalprice").cast("decimal(15,2)").cast("string")), note,
+        element("Twice", F.lit("1")), element("Twice", F.lit("2")), extra, element("Box", extra), element("Line", line),
+        F.lit(f"</{SAMPLE}>"))
+    return df.select(basket_tag(V23, "Shop.Scalars", _bid("Y", F.year("o_orderdate"))).alias("basket_tag"), raw.alias("raw"))
+
+
 def rendered(source: dict, catalog: Catalog, dialect: str) -> DataFrame:
     """(basket_tag, raw) of a table described by one of the functions above."""
     info: ClassInfo = catalog.model.classes[source["info"]]
@@ -291,7 +325,7 @@ def write_objects(rows: DataFrame, path: str, dialect: str = V23, files: int | N
 
 
 #: Topics that are rendered, and their dialect; ``mixed`` has orders in either one, ``stock1`` few large files.
-FOLDERS = {"sales": V23, "sales24": V24, "mixed": None, "deep": V23, "stock": V23, "stock1": V23, "tracks": V23, "tracks24": V24}
+FOLDERS = {"sales": V23, "sales24": V24, "mixed": None, "deep": V23, "scalars": V23, "stock": V23, "stock1": V23, "tracks": V23, "tracks24": V24}
 _RENDERED: dict[tuple[str, str, str], str] = {}
 
 
@@ -309,8 +343,8 @@ def folder(spark: SparkSession, sf_dir: str, name: str) -> str:
             parts = [(orders(table("orders").filter(F.col("o_custkey") % 2 == i)), d) for i, d in enumerate((V23, V24))]
         elif name in ("stock", "stock1"):
             parts = [(lines(table("lineitem")), dialect)]
-        elif name == "deep":
-            write_objects(chains(table("customer")), f"{path}/part0")
+        elif name in ("deep", "scalars"):
+            write_objects(chains(table("customer")) if name == "deep" else samples(table("orders")), f"{path}/part0")
             parts = []
         else:
             parts = [(tracks(table("embeddings"), dialect), dialect)]

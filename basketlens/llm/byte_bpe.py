@@ -4,8 +4,9 @@ A text is split by the vocabulary's pattern.  The bytes of each piece become
 Latin-1 characters, in which an Aho-Corasick automaton finds every token.  The
 encoder takes the longest token at each place that may follow the token
 before, and steps back where none may.  Two tokens may follow each other when
-merging their joined bytes by rank gives just these two; this is worked out
-once per pair.  As a sequence whose neighbours all may follow each other is
+merging their joined bytes by rank gives just these two: no merge across their border comes before the merges that
+make the two.  The parts that a token is merged from are known once for the vocabulary, so a pair is decided by a walk down the inner
+edges of its two trees.  As a sequence whose neighbours all may follow each other is
 the one that the merges lead to, the result equals that of the merges, and as
 a place that led nowhere is not tried again, the work grows with the length.
 """
@@ -26,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-#: Pieces, pairs and token facts remembered by each Python worker.
+#: Pieces and pairs remembered by each Python worker.
 MEMORY = 3 << 17
 _NOTHING: dict[bytes, bool] = {}
 
@@ -52,29 +53,66 @@ class Encoder:
         # Ids as 32-bit numbers in bytes: small, and nothing for Python's collector to look through.
         self.pieces: dict[str, bytes] = {}
         self.older_pieces: dict[str, bytes] = {}
+        self.parts: dict[bytes, tuple[bytes, bytes] | None] = {}
         self.follows: dict[bytes, dict[bytes, bool]] = {}
         self.n_follows = 0
         self.shorter: dict[bytes, bytes] = {}
 
-    def merged(self, data: bytes) -> list[bytes]:
-        """Merge by rank, lowest first; used on the bytes of two tokens at most."""
+    def merged(self, data: bytes, below: int) -> list[bytes]:
+        """Merge by rank, lowest first, with ranks under a limit; used on the bytes of one token."""
         parts = [data[i:i + 1] for i in range(len(data))]
         while len(parts) > 1:
-            pairs = [self.ranks.get(a + b) for a, b in zip(parts, parts[1:])]
-            known = [p for p in pairs if p is not None]
-            if not known:
+            rank, i = min((self.ranks.get(a + b, below), i) for i, (a, b) in enumerate(zip(parts, parts[1:], strict=False)))
+            if rank >= below:
                 break
-            i = pairs.index(min(known))
             parts[i:i + 2] = [parts[i] + parts[i + 1]]
         return parts
 
+    def halves(self, token: bytes) -> tuple[bytes, bytes] | None:
+        """The two parts whose merge is the token; None for a byte, and for a token that no merge leads to."""
+        if token not in self.parts:
+            found = self.merged(token, self.ranks[token]) if len(token) > 1 else [token]
+            self.parts[token] = (found[0], found[1]) if len(found) == 2 else None
+        return self.parts[token]
+
     def may_follow(self, before: bytes, token: bytes) -> bool:
-        """Whether the merges keep ``token`` whole and apart from ``before`` (empty at the start)."""
+        """Whether the merges keep ``token`` whole and apart from ``before`` (empty at the start).
+
+        The border between two tokens is crossed by the tokens that stood there earlier: the right parts of the left tree and the
+        left parts of the right one.  The walk goes from the whole tokens back in time, the later merge first; a pair that stood
+        there together would have merged if its rank is lower than that of the merge that ended it.
+        """
+        if len(token) > 1 and self.halves(token) is None:
+            return False
+        if not before:
+            return True
+        ranks = self.ranks
+        left, right = before, token
+        # Ranks of the merges that take the place of the pair at hand; the whole tokens are never merged on.
+        last = len(ranks)
+        while True:
+            rank = ranks.get(left + right)
+            if rank is not None and rank < last:
+                return False
+            a = ranks[left] if len(left) > 1 else -1
+            b = ranks[right] if len(right) > 1 else -1
+            if a < 0 and b < 0:
+                return True
+            # Of equal merges the left one comes first, so the right one is undone first.
+            if b >= a:
+                right, last = self.halves(right)[0], b
+                # A merge across the border of the same rank, further left, would come before it.
+                last += 1
+            else:
+                left, last = self.halves(left)[1], a
+
+    def _decided(self, before: bytes, token: bytes) -> bool:
+        """`may_follow`, remembered."""
         if self.n_follows >= MEMORY:
             self.follows.clear()
             self.n_follows = 0
         self.n_follows += 1
-        answer = self.merged(before + token) == ([before, token] if before else [token])
+        answer = self.may_follow(before, token)
         self.follows.setdefault(before, {})[token] = answer
         return answer
 
@@ -113,7 +151,7 @@ class Encoder:
             while token:
                 if not dead[place + len(token)]:
                     fits = known.get(token)
-                    if fits or fits is None and self.may_follow(before, token):
+                    if fits or fits is None and self._decided(before, token):
                         break
                 token = self.shorter.get(token) if token in self.shorter else self.next_shorter(token)
             if token:
@@ -134,20 +172,24 @@ class Encoder:
 
     def encode_packed(self, text: str) -> bytes:
         """The ids of a text as 32-bit numbers."""
-        out = []
-        pieces = self.pieces
-        for piece in self.split(text):
-            found = pieces.get(piece)
-            if found is None:
-                found = self.older_pieces.get(piece) or self.encode_piece(piece)
-                if len(piece) <= 64:
-                    if len(pieces) >= MEMORY:  # what was used of late stays at hand
-                        self.older_pieces, self.pieces = pieces, {}
-                        pieces = self.pieces
-                    pieces[piece] = found
-            out.append(found)
+        parts = self.split(text)
+        out = list(map(self.pieces.get, parts))
+        if None in out:
+            for i, found in enumerate(out):
+                if found is None:
+                    out[i] = self._remembered(parts[i])
         return b"".join(out)
 
+    def _remembered(self, piece: str) -> bytes:
+        found = self.pieces.get(piece)  # met earlier in the same text
+        if found is None:
+            found = self.older_pieces.get(piece) or self.encode_piece(piece)
+            if len(piece) <= 64:
+                if len(self.pieces) >= MEMORY:  # what was used of late stays at hand
+                    self.older_pieces, self.pieces = self.pieces, {}
+                self.pieces[piece] = found
+        return found
+
     def encode(self, text: str) -> list[int]:
         return array("i", self.encode_packed(text)).tolist()
 
@@ -226,6 +268,33 @@ def decode(docs: DataFrame, rank_file: bytes, pattern: str, ids_col: str = "ids"
     return _with(docs, data_col, T.BinaryType(), ids_col, run)
 
 
+def round_trip(docs: DataFrame, rank_file: bytes, pattern: str, text_col: str = "text") -> DataFrame:
+    """``docs`` with ``ids`` and the ``decoded`` bytes of these ids, in one pass; see `encode` and `decode`."""
+    shared = docs.sparkSession.sparkContext.broadcast(rank_file)
+    taken = ("ids", "decoded")
+    kept = [c for c in docs.columns if c.lower() not in taken and c != text_col]
+    schema = T.StructType([*(docs.schema[c] for c in kept), T.StructField("ids", T.ArrayType(T.IntegerType())),
+                           T.StructField("decoded", T.BinaryType())])
+
+    def run(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder = _encoder(shared.value, pattern)
+        for batch in source:
+            texts = batch.column(batch.schema.get_field_index(text_col))
+            first, packed, data, weight = 0, [], [], 0
+            for i, text in enumerate(texts):
+                ids = encoder.encode_packed(text.as_py() or "")
+                packed.append(ids)
+                data.append(encoder.decode(array("i", ids)))
+                weight += len(ids) + len(data[-1])
+                if weight >= LOT or i == batch.num_rows - 1:
+                    rows = batch.slice(first, len(packed))
+                    yield pa.RecordBatch.from_arrays(
+                        [rows.column(c) for c in kept] + [_id_lists(packed), pa.array(data, type=pa.binary())], names=[*kept, *taken])
+                    first, packed, data, weight = i + 1, [], [], 0
+
+    return docs.mapInArrow(run, schema)
+
+
 def digests() -> list:
     """Columns ``n_tokens``, ``ids_sha256`` and ``decoded_sha256`` of encoded and decoded rows."""
     ids = F.coalesce(F.col("ids"), F.array().cast("array<int>"))

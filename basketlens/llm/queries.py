@@ -66,9 +66,8 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = byte_bpe.read_ranks(spark, RANK_FILE)
-    encoded = byte_bpe.encode(documents(spark, sf_dir).select("doc_id", "text"), ranks, public_tokenizers.PATTERN)
-    decoded = byte_bpe.decode(encoded.select("doc_id", "ids"), ranks, public_tokenizers.PATTERN)
-    return decoded.select("doc_id", *byte_bpe.digests())
+    both = byte_bpe.round_trip(documents(spark, sf_dir).select("doc_id", "text"), ranks, public_tokenizers.PATTERN)
+    return both.select("doc_id", *byte_bpe.digests())
 
 
 def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

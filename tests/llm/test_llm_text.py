@@ -128,6 +128,25 @@ def test_encoding_equals_the_merges(spark, docs, rows, ranks):
         assert r.ids_sha256 == hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest()
         assert r.decoded_sha256 == hashlib.sha256((r.text or "").encode()).hexdigest()
     assert byte_bpe.encode(docs.limit(0), ranks, public_tokenizers.PATTERN).count() == 0
+    once = byte_bpe.round_trip(docs.withColumn("IDS", F.lit(1)), ranks, public_tokenizers.PATTERN)
+    assert once.columns == ["doc_id", "lang", "source", "ids", "decoded"]
+    assert Counter(map(str, once.select("doc_id", *byte_bpe.digests()).collect())) == Counter(
+        map(str, both.select("doc_id", *byte_bpe.digests()).collect()))
+    assert byte_bpe.round_trip(docs.limit(0), ranks, public_tokenizers.PATTERN).count() == 0
+
+
+def test_pairs_of_tokens_are_decided_as_the_merges_do(ranks):
+    own = byte_bpe.Encoder(ranks, public_tokenizers.PATTERN)
+    rng = random.Random(7)
+    tokens, none = list(own.ranks), len(own.ranks)
+    pairs = [(rng.choice(tokens), rng.choice(tokens)) for _ in range(20000)]
+    pairs += [(t[:k], t[k:]) for t in rng.sample(tokens, 4000) for k in range(1, len(t)) if t[:k] in own.ranks and t[k:] in own.ranks]
+    seen = set()
+    for before, token in pairs:
+        want = own.merged(before + token, none) == [before, token]
+        assert own.may_follow(before, token) == want
+        seen.add(want)
+    assert seen == {True, False}
 
 
 # -- quality -------------------------------------------------------------------------------------------------------------

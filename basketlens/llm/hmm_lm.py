@@ -27,6 +27,8 @@ from pyspark.sql import types as T
 from basketlens.llm.common import lower_ascii, row_struct, text_of, unpacked, words_of
 from basketlens.sources.session import cut_lineage
 
+#: Symbols of a row of written training texts, about.
+LOT = 1 << 18
 RESULTS = ("n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
@@ -128,23 +130,41 @@ def _per_task(function, vocab_shared):
     return run
 
 
-def _near_words(train: DataFrame, shared, settings: Settings) -> np.ndarray:
-    """How often two of the commonest words occur near each other."""
-    m = settings.grouped
-
+def _symbols(train: DataFrame, shared) -> DataFrame:
+    """The training texts as symbols, each text closed by its end, many to a row; written once for all passes."""
     def run(batches, coder):
-        total = np.zeros(m * m, dtype=np.int64)
         for batch in batches:
+            held, weight = [], 0
             for value in batch.column(0):
-                found, _ = coder.symbols(value.as_py())
+                held.append(coder.symbols(value.as_py())[0].astype(np.int32))
+                weight += len(held[-1])
+                if weight >= LOT:
+                    yield pa.RecordBatch.from_arrays([pa.array([np.concatenate(held)], type=pa.list_(pa.int32()))], names=["symbols"])
+                    held, weight = [], 0
+            if held:
+                yield pa.RecordBatch.from_arrays([pa.array([np.concatenate(held)], type=pa.list_(pa.int32()))], names=["symbols"])
+
+    return cut_lineage(train.mapInArrow(_per_task(run, shared), "symbols array<int>"), "lm-symbols")
+
+
+def _near_words(coded: DataFrame, vocab: Vocabulary, settings: Settings) -> np.ndarray:
+    """How often two of the commonest words occur near each other in a text."""
+    m, head, end = settings.grouped, len(vocab.words), vocab.end
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(m * m, dtype=np.int64)
+        for batch in batches:
+            for row in batch.column(0):
+                found = row.values.to_numpy()
+                text = np.cumsum(found == end)
+                common = (found < m) & (found < head)
                 for gap in range(1, settings.near + 1):
-                    a, b = found[:-gap], found[gap:]
-                    both = (a < m) & (b < m) & (a < coder.first_class) & (b < coder.first_class)
-                    np.add.at(total, a[both] * m + b[both], 1)
+                    both = common[:-gap] & common[gap:] & (text[:-gap] == text[gap:])
+                    total += np.bincount(found[:-gap][both].astype(np.int64) * m + found[gap:][both], minlength=m * m)
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], names=["cell", "n"])
 
-    rows = train.mapInArrow(_per_task(run, shared), "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).toPandas()
+    rows = coded.mapInArrow(run, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).toPandas()
     table = np.zeros(m * m)
     table[rows["cell"].to_numpy(dtype=np.int64)] = rows["n"].to_numpy(dtype=float)
     table = table.reshape(m, m)
@@ -218,12 +238,12 @@ def expected_counts(segments: np.ndarray, model: Model) -> tuple[np.ndarray, np.
     return counts, moves * model.moves, state[0].sum(axis=0)
 
 
-def _round(train: DataFrame, shared, model: Model, settings: Settings, n_symbols: int) -> Model:
+def _round(coded: DataFrame, vocab: Vocabulary, model: Model, settings: Settings) -> Model:
     """One step of Baum-Welch over all training documents."""
-    sent = train.sparkSession.sparkContext.broadcast(model)
-    length, s = settings.segment, settings.states
+    sent = coded.sparkSession.sparkContext.broadcast(model)
+    length, s, n_symbols, end = settings.segment, settings.states, vocab.n_symbols, vocab.end
 
-    def run(batches, coder):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = sent.value
         total = np.zeros((n_symbols + s + 1, s))  # symbols, then moves, then starts
         held: list[np.ndarray] = []
@@ -239,14 +259,16 @@ def _round(train: DataFrame, shared, model: Model, settings: Settings, n_symbols
             total[-1] += start
 
         for batch in batches:
-            for value in batch.column(0):
-                found, _ = coder.symbols(value.as_py())
-                for at in range(0, len(found), length):
-                    held.append(found[at:at + length])
-                    weight += 1
-                    if weight == 1024:
-                        work()
-                        held, weight = [], 0
+            for row in batch.column(0):
+                found, begin = row.values.to_numpy(), 0
+                for stop in (np.flatnonzero(found == end) + 1).tolist():
+                    for at in range(begin, stop, length):
+                        held.append(found[at:min(at + length, stop)])
+                        weight += 1
+                        if weight == 1024:
+                            work()
+                            held, weight = [], 0
+                    begin = stop
         if held:
             work()
         at = np.flatnonzero(total.any(axis=1))
@@ -254,10 +276,10 @@ def _round(train: DataFrame, shared, model: Model, settings: Settings, n_symbols
             [pa.array(at), pa.array(list(total[at]), type=pa.list_(pa.float64()))], names=["at", "n"])
 
     sums = [F.sum(F.col("n")[k]).alias(f"s{k}") for k in range(s)]
-    rows = train.mapInArrow(_per_task(run, shared), "at long, n array<double>").groupBy("at").agg(*sums).toPandas()
+    rows = coded.mapInArrow(run, "at long, n array<double>").groupBy("at").agg(*sums).toPandas()
     total = np.zeros((n_symbols + s + 1, s))
     total[rows["at"].to_numpy(dtype=np.int64)] = rows[[f"s{k}" for k in range(s)]].to_numpy(dtype=float)
-    emits = total[:n_symbols] + settings.prior * overall(shared.value)[:, None]
+    emits = total[:n_symbols] + settings.prior * overall(vocab)[:, None]
     moves = total[n_symbols:-1] + 1.0
     start = total[-1] + 1.0
     return Model(start / start.sum(), moves / moves.sum(axis=1, keepdims=True), emits / emits.sum(axis=0))
@@ -339,10 +361,11 @@ def score(docs: DataFrame, learn_from: Column, id_col: str = "doc_id", text_col:
     counts = cut_lineage(count_words(train), "lm-counts")
     vocab, classes = vocabulary(train, counts, settings)
     shared = spark.sparkContext.broadcast(vocab)
-    group = first_groups(_near_words(train, shared, settings), settings.states)
+    coded = _symbols(train, shared)
+    group = first_groups(_near_words(coded, vocab, settings), settings.states)
     model = first_model(vocab, group, settings)
     for _ in range(settings.rounds):
-        model = _round(train, shared, model, settings, vocab.n_symbols)
+        model = _round(coded, vocab, model, settings)
 
     rows = docs.select(row_struct(docs, columns).alias("row"), text_of(text_col).alias("text"))
     # Row numbers are fixed by writing them with the scores.

@@ -13,7 +13,7 @@ last, so that a passage of many texts brings no pairs.  The number of chunks is
 size band; a text near a band's lower end also signs in the band below.  A text with no
 more filled chunks than D signs in a bucket for such texts.
 
-**Comparison.**  No pairs are written.  Each text joins the largest bucket it
+**Comparison.**  No pairs are written.  Each text joins the largest bucket that it or a text in one of its buckets
 is in (its hub) and visits the hubs after its own that it meets elsewhere.  The texts of
 a hub are cut into blocks by size class and hash, and pairs of
 blocks meet in separate tasks, so a hub with most of the texts is spread over many tasks and every
@@ -316,8 +316,14 @@ def link_table(docs: DataFrame, percent: int = 80, width: int = 5) -> tuple[Data
     entries = entries.repartition("bucket").groupBy("bucket", "cls").agg(F.lit(1).alias("one"))
     met = entries.withColumn("size", F.count("*").over(Window.partitionBy("bucket"))).filter("size > 1")
     hubs = cut_lineage(
-        met.groupBy("cls").agg(F.max(F.struct("size", "bucket")).alias("top"), F.collect_list("bucket").alias("buckets"))
-        .select("cls", F.col("top.bucket").alias("hub"), "buckets"), "jaccard-hubs")
+        met.groupBy("cls").agg(F.max(F.struct("size", "bucket")).alias("top"), F.collect_list("bucket").alias("buckets")),
+        "jaccard-hubs")
+    # A text takes over the largest hub among those that share a bucket with it.  Any choice of hubs finds every pair; with
+    # this one, near copies nearly all have the same hub and hardly visit each other's.
+    largest = hubs.select("top", F.explode("buckets").alias("bucket")).groupBy("bucket").agg(F.max("top").alias("top"))
+    taken = hubs.select("cls", F.explode("buckets").alias("bucket")).join(largest, "bucket").groupBy("cls").agg(
+        F.max("top").alias("top"), F.collect_list("bucket").alias("buckets"))
+    hubs = cut_lineage(taken.select("cls", F.col("top.bucket").alias("hub"), "buckets"), "jaccard-hubs")
     return rows.select("row_key", "cls"), classes, _links(docs, hubs, classes, percent, width)
 
 

@@ -41,9 +41,8 @@ def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token count and digests of the ids and of the bytes they decode to, a row per row of the mix."""
     ranks = byte_bpe.read_ranks(spark, RANK_FILE)
-    ids = byte_bpe.encode(docs.select("doc_id", "text"), ranks, public_tokenizers.PATTERN)
-    decoded = byte_bpe.decode(ids.select("doc_id", "ids"), ranks, public_tokenizers.PATTERN)
-    return decoded.select("doc_id", *byte_bpe.digests())
+    both = byte_bpe.round_trip(docs.select("doc_id", "text"), ranks, public_tokenizers.PATTERN)
+    return both.select("doc_id", *byte_bpe.digests())
 
 
 STAGES = [

@@ -8,12 +8,12 @@ set the temperature.  Fitting runs in one task on these bounded rows, prediction
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -23,7 +23,7 @@ from basketlens.llm.text_arrays import mix64
 
 RESULTS = ("lang_pred", "score")
 UNKNOWN = "und"
-_LETTER = re.compile(r"[^\W\d_]")
+_LETTER = regex.compile(r"\p{L}")
 
 
 @dataclass(frozen=True)

@@ -229,7 +229,7 @@ def _languages(n, seed=0):
 
 
 def test_language_held_out_accuracy(spark):
-    rows = _languages(900) + [(1000, None, "aa"), (1001, "123 .. ", "bb"), (1002, "", "cc"), (1003, "abc", None)]
+    rows = _languages(900) + [(1000, None, "aa"), (1001, "123 .. ", "bb"), (1002, "", "cc"), (1003, "abc", None), (1004, "²³ ①", "aa")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)
     settings = language_id.Settings(sample=400, calibration=100)
     model = language_id.train(docs, F.crc32(F.col("doc_id").cast("string")) % 3 != 1, settings=settings)
@@ -238,7 +238,7 @@ def test_language_held_out_accuracy(spark):
     held = [r for r in rows if r[2] and r[0] < 1000 and remainder(r[0], 3) == 1]
     assert sum(got[r[0]].lang_pred == r[2] for r in held) >= 0.97 * len(held)
     assert all(0 <= r.score <= 1 for r in got.values())
-    assert [got[i].lang_pred for i in (1000, 1001, 1002)] == ["und"] * 3
+    assert [got[i].lang_pred for i in (1000, 1001, 1002, 1004)] == ["und"] * 4
     again = language_id.train(docs.repartition(7), F.crc32(F.col("doc_id").cast("string")) % 3 != 1, settings=settings)
     assert np.array_equal(model.weights, again.weights)
 

@@ -92,15 +92,25 @@ def tags(data: bytes, mode: int = CONTENT) -> Tags:
             return at[(span < 0) | (at >= stops[np.maximum(span, 0)])]
 
         starts, closing = seen(starts), seen(closing)
-    place = np.searchsorted(closing, starts)
-    starts = starts[place < len(closing)]
+    # Mostly every bracket is closed before the next one opens.
+    paired = len(starts) == len(closing) and bool((starts < closing).all() and (closing[:-1] < starts[1:]).all())
+    if not paired:
+        place = np.searchsorted(closing, starts)
+        starts = starts[place < len(closing)]
     if not len(starts):
         none = np.zeros(0, dtype=np.int64)
         return Tags(none, none, none, [(a, b) for a, b, kind in spans if kind == COMMENT], after)
-    ends = closing[place[place < len(closing)]]
-    quotes, apostrophes = (np.flatnonzero(text == q) for q in (_QUOTE, _APOSTROPHE))
-    double = np.searchsorted(quotes, ends) - np.searchsorted(quotes, starts)
-    single = np.searchsorted(apostrophes, ends) - np.searchsorted(apostrophes, starts)
+    ends = closing if paired else closing[place[place < len(closing)]]
+
+    def inside(sign: int) -> np.ndarray:
+        """How many of a kind of quotes each tag holds."""
+        at = np.flatnonzero(text == sign)
+        if not paired:
+            return np.searchsorted(at, ends) - np.searchsorted(at, starts)
+        tag = np.searchsorted(starts, at) - 1
+        return np.bincount(tag[(tag >= 0) & (at < ends[tag])], minlength=len(starts))
+
+    double, single = inside(_QUOTE), inside(_APOSTROPHE)
     # A bracket inside a value: one of the quotes before it is open.
     odd = np.flatnonzero((double % 2 == 1) | (single % 2 == 1) | ((double > 0) & (single > 0)))
     whole = np.ones(len(starts), dtype=bool)
@@ -184,6 +194,22 @@ class Row(NamedTuple):
     text: bytes
 
 
+class Run(NamedTuple):
+    """Whole objects of one basket in the order of a stretch: where their start tags begin and end, and where they end."""
+
+    owner: int
+    basket_no: int
+    pos: int
+    basket_tag: bytes | None
+    starts: np.ndarray
+    heads: np.ndarray
+    ends: np.ndarray
+
+    def rows(self, data: bytes) -> Iterator[Row]:
+        for i, (start, end) in enumerate(zip(self.starts.tolist(), self.ends.tolist(), strict=True)):
+            yield Row(OBJECT, self.owner, self.basket_no, self.pos + i, self.basket_tag, data[start:end])
+
+
 class Cutter:
     """Rows of a file, or of one range of it that begins with the given elements open."""
 
@@ -198,6 +224,14 @@ class Cutter:
         self.root = self._opened[0] if self._opened else None
 
     def feed(self, data: bytes) -> Iterator[Row]:
+        for found in self.runs(data):
+            if isinstance(found, Row):
+                yield found
+            else:
+                yield from found.rows(data)
+
+    def runs(self, data: bytes) -> Iterator[Row | Run]:
+        """Rows of a stretch; objects that lie whole in it, one after the other in a basket, come as one `Run`."""
         found = tags(data, self.mode)
         comments = found.comments
 
@@ -213,46 +247,60 @@ class Cutter:
 
         after = self.depth + np.cumsum(found.kinds)
         before = after - found.kinds
-        near = np.flatnonzero(np.where(found.kinds >= 0, before <= 3, after <= 3))
-        begin = 0  # of what is held
-        for i in near:
-            kind, start, end, level = int(found.kinds[i]), int(found.starts[i]), int(found.ends[i]), int(before[i])
-            if kind >= 0:
-                if level == 3 and self._in_data:
-                    self._pos += 1
-                    if kind:
-                        self._parts, self._owner, begin = [], self.block, start
+        level = np.where(found.kinds >= 0, before, after)
+        frame, objects = np.flatnonzero(level < 3), np.flatnonzero(level == 3)
+        begin, done = 0, 0  # of what is held; objects' tags that are done
+        for i, upto in zip([*frame.tolist(), None], [*np.searchsorted(objects, frame).tolist(), len(objects)], strict=True):
+            here, done = objects[done:upto], upto
+            if len(here) and self._parts is not None:
+                own = self._owner == self.block
+                self._parts.append(text(begin, int(found.ends[here[0]])))
+                yield self._row(OBJECT if own else ENDED, b"".join(self._parts))
+                self._parts = self._owner = None
+                here = here[1:]
+            if len(here) and self._in_data:
+                left = here[-1] if found.kinds[here[-1]] > 0 else None
+                opening = here[found.kinds[here] >= 0]
+                whole = opening if left is None else opening[:-1]
+                # An object ends with the next of these tags, an empty one with its own.
+                last = np.where(found.kinds[whole] > 0, here[np.minimum(np.searchsorted(here, whole) + 1, len(here) - 1)], whole)
+                if len(whole):
+                    run = Run(self.block, self._basket_no, self._pos + 1, self._opened[2] if len(self._opened) > 2 else None,
+                              found.starts[whole], found.ends[whole], found.ends[last])
+                    if comments:
+                        yield from (r._replace(text=text(int(a), int(z)))
+                                    for r, a, z in zip(run.rows(data), run.starts, run.ends, strict=True))
                     else:
-                        yield self._row(OBJECT, data[start:end])
-                elif level < 3:
-                    tag = data[start:end]
-                    if level == 2 and self._in_data:
-                        if self._header is not None:
-                            yield self._made_header(text(0, start))
-                        self._basket_no, self._pos = self._basket_no + 1, 0
-                        self._opened[2:] = [tag]
-                        yield self._row(BASKET, b"")
-                    elif level == 1:
-                        self._in_data = kind == 1 and is_data_section(tag)
-                    elif level == 0:
-                        self.root = tag
-                    if kind:
-                        self._opened[level:] = [tag]
-                    else:
-                        del self._opened[level:]
-            else:
-                level -= 1
-                if level == 3 and self._parts is not None:
-                    own = self._owner == self.block
-                    self._parts.append(text(begin, end))
-                    yield self._row(OBJECT if own else ENDED, b"".join(self._parts))
-                    self._parts = self._owner = None
-                elif level < 3:
-                    if level == 1 and self._in_data and self._header is not None:
+                        yield run
+                self._pos += len(opening)
+                if left is not None:
+                    self._parts, self._owner, begin = [], self.block, int(found.starts[left])
+            if i is None:
+                break
+            kind, start, end = int(found.kinds[i]), int(found.starts[i]), int(found.ends[i])
+            if kind >= 0:
+                above, tag = int(before[i]), data[start:end]
+                if above == 2 and self._in_data:
+                    if self._header is not None:
                         yield self._made_header(text(0, start))
-                    if level <= 1:
-                        self._in_data = False
-                    del self._opened[max(level, 0):]
+                    self._basket_no, self._pos = self._basket_no + 1, 0
+                    self._opened[2:] = [tag]
+                    yield self._row(BASKET, b"")
+                elif above == 1:
+                    self._in_data = kind == 1 and is_data_section(tag)
+                elif above == 0:
+                    self.root = tag
+                if kind:
+                    self._opened[above:] = [tag]
+                else:
+                    del self._opened[above:]
+            else:
+                above = int(after[i])
+                if above == 1 and self._in_data and self._header is not None:
+                    yield self._made_header(text(0, start))
+                if above <= 1:
+                    self._in_data = False
+                del self._opened[max(above, 0):]
         if len(after):
             self.depth = int(after[-1])
         self.mode = found.mode

@@ -37,3 +37,11 @@ def cut_lineage(df, label: str = "cut"):
     path = fresh_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def small_batches(spark: SparkSession, most: int = 8 << 20) -> None:
+    """Hand rows to Python in Arrow batches of about ``most`` bytes (or one row); a setting of the session that changes no result.
+
+    Spark's own bounds let a batch hold all the files of a task.
+    """
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(most))

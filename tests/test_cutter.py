@@ -174,3 +174,11 @@ def test_unknown_properties_are_direct_children(spark, town, write):
     owner = si.obj("Owner", "o", "<Name>n</Name><Extra>1</Extra><Box><Extra>inside</Extra></Box><Extra/>")
     found = scan.scan_class(spark, write(a=si.v23(si.plan("b", owner))), f"{si.T}.Owner", town)
     assert found.first()._unsupported_json == '{"Extra":["1",""],"Box":["<Extra>inside</Extra>"]}'
+
+
+def test_objects_of_a_basket_come_as_one_run():
+    objects = [f'<C TID="{i}"><v>x</v></C>'.encode() if i % 3 else f'<C TID="{i}"/>'.encode() for i in range(50)]
+    text = b"<TRANSFER><DATASECTION>" + b"".join(b'<B BID="%d">' % b + b"\n".join(objects) + b"</B>" for b in range(2)) + b"</DATASECTION></TRANSFER>"
+    found = [r for r in cutter.Cutter().runs(text) if isinstance(r, cutter.Run)]
+    assert [(r.basket_no, r.pos, len(r.starts)) for r in found] == [(1, 1, 50), (2, 1, 50)]
+    assert [r.text for run in found for r in run.rows(text)] == objects * 2

@@ -1,3 +1,4 @@
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -146,3 +147,26 @@ def test_second_dialect_names_that_begin_alike(spark, town, write):
     text = si.TOWN24.replace("<Town:Name>Cy</Town:Name>", "<Town:OwnerNo>4</Town:OwnerNo><Town:Name>Cy</Town:Name>")
     raw = [r.raw for r in ob.read_objects(spark, write(a=text), town.model).filter("tid = 'o24'").collect()]
     assert all(r.endswith("</Town:Owner>") for r in raw) and any("Cy" in r for r in raw)
+
+
+def test_start_tags_read_by_the_cutter_are_those_of_the_expressions(spark, town, write):
+    """Odd start tags are left to the expressions; all of them say the same."""
+    tags = ['TID="1"', 'TID="2" OPERATION="DELETE"', "TID='3'", 'TID="4" OPERATION="update"', 'OPERATION="UPDATE"', 'TID="a&amp;b"',
+            'TID=""', 'OPERATION="UPDATE" TID="5"', 'x="1" TID="6"', 'TID = "7"', 'TID="&#233;"', 'TID="é"', "", 'p:tid="8"']
+    body = "".join(f"<Town.Plan.Owner {t}><Name>n</Name></Town.Plan.Owner>" for t in tags)
+    path = write(a=si.v23(f'<Town.Plan BID="b">{body}</Town.Plan><Town.Plan BID="x&lt;y"><Town.Plan.Owner TID="9"/></Town.Plan>'))
+    cut_rows = ob._cut_files(ob.whole_texts(spark, path), (ob.cut.OBJECT,), True)
+    assert cut_rows.filter("plain_tag IS NOT NULL").count() == 8
+    none = F.lit(None).cast("string")
+    bare = cut_rows.select(*(none.alias(c) if c.startswith("plain_") else c for c in cut_rows.columns))
+    names = ob.Tags(town.model)
+    fast, slow = (sorted(map(str, ob._named(x, names).collect())) for x in (cut_rows, bare))
+    assert fast == slow and len(fast) == 15
+
+
+def test_files_come_in_small_batches(spark, town, write):
+    """A batch is not all the files of a task."""
+    path = write(**{f"f{i}": si.v23(si.plan("b", si.obj("Owner", "o", f"<Name>{'n' * 3_000_000}</Name>"))) for i in range(8)})
+    sizes = ob.whole_texts(spark, path).coalesce(1).mapInArrow(
+        lambda batches: (pa.RecordBatch.from_pydict({"n": [b.nbytes]}) for b in batches), "n long").collect()
+    assert max(r.n for r in sizes) < 16_000_000

@@ -13,9 +13,11 @@ from pyspark.sql import functions as F
 from basketlens.plans.catalog import Catalog, ClassInfo
 from basketlens.sources.objects import V23, V24
 from basketlens.sources.session import fresh_path
-from basketlens.sources.writer import TARGET_FILE_BYTES, ObjectWriter, basket_tag, header_text, write_transfer
+from basketlens.sources.writer import ObjectWriter, basket_tag, header_text, write_grouped, write_transfer
 
 SMALL_FILE_BYTES = 4 * 1024 * 1024
+LARGE_FILE_BYTES = 16 * 1024 * 1024
+LARGE_FILE_ROWS = 1_000_000
 
 SEGMENTS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
 FLAGS = ["A", "N", "R"]
@@ -309,22 +311,30 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
-def write_objects(rows: DataFrame, path: str, dialect: str = V23, files: int | None = None) -> None:
-    """Write (basket_tag, raw) rows as transfer files, baskets kept together per task.
+def write_objects(rows: DataFrame, path: str, dialect: str = V23) -> None:
+    """Write (basket_tag, raw) rows as compressed transfer files, each with its objects basket by basket.
 
     A file is read by one task, so a small input gets small files to keep all
-    cores busy and a large one gets files worth a task each.  With ``files`` there are so many, however large.
+    cores busy and a large one gets larger files.
     """
-    if files is not None:
-        rows = rows.repartition(files)
     few_splits = rows.rdd.getNumPartitions() <= 4 * rows.sparkSession.sparkContext.defaultParallelism
-    target = SMALL_FILE_BYTES if few_splits else TARGET_FILE_BYTES
-    framed = rows.sortWithinPartitions("basket_tag").select(
+    target = SMALL_FILE_BYTES if few_splits else LARGE_FILE_BYTES
+    write_grouped(rows, path, header_text(dialect, ["Shop"]), target, "gzip")
+
+
+def write_large_files(source: dict, path: str, catalog: Catalog, dialect: str) -> None:
+    """Write a table as plain files that are too large for a task to read whole, but not for one to write.
+
+    Two files at least; rows are dealt out and put in order of baskets before they become text.
+    """
+    files = max(2, -(-source["rows"].count() // LARGE_FILE_ROWS))
+    rows = source["rows"].repartition(files).sortWithinPartitions(source["bid"])
+    framed = rendered(source | {"rows": rows}, catalog, dialect).select(
         F.lit(None).cast("string").alias("header"), F.lit(0).alias("basket_no"), "basket_tag", "raw")
-    write_transfer(framed, path, header_text(dialect, ["Shop"]), target_bytes=None if files else target)
+    write_transfer(framed, path, header_text(dialect, ["Shop"]), target_bytes=None)
 
 
-#: Topics that are rendered, and their dialect; ``mixed`` has orders in either one, ``stock1`` few large files.
+#: Topics that are rendered, and their dialect; ``mixed`` has orders in either one, ``stock1`` large files.
 FOLDERS = {"sales": V23, "sales24": V24, "mixed": None, "deep": V23, "scalars": V23, "stock": V23, "stock1": V23, "tracks": V23, "tracks24": V24}
 _RENDERED: dict[tuple[str, str, str], str] = {}
 
@@ -351,7 +361,10 @@ def folder(spark: SparkSession, sf_dir: str, name: str) -> str:
         # One write per class: a union of them would be one job too, but the
         # files of a class then could not be told by their order.
         for i, (p, d) in enumerate(parts):
-            write_objects(rendered(p, catalog, d), f"{path}/part{i}", d, files=2 if name == "stock1" else None)
+            if name == "stock1":
+                write_large_files(p, f"{path}/part{i}", catalog, d)
+            else:
+                write_objects(rendered(p, catalog, d), f"{path}/part{i}", d)
         _RENDERED[key] = f"{path}/*"
     return _RENDERED[key]
 

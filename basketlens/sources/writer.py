@@ -12,6 +12,7 @@ import re
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -20,6 +21,7 @@ from basketlens.functions.markup import escape_attribute, escape_text
 from basketlens.plans.catalog import ClassInfo, Model, PropertyInfo
 from basketlens.sources.objects import V23
 from basketlens.sources.parse import MAX_NESTING
+from basketlens.sources.session import small_batches
 
 TARGET_FILE_BYTES = 48 * 1024 * 1024
 
@@ -117,7 +119,7 @@ def basket_tag(dialect: str, topic: str, bid: Column) -> Column:
 
 def write_transfer(
     rows: DataFrame, path: str, header: str | None = None, mode: str = "errorifexists",
-    target_bytes: int | None = TARGET_FILE_BYTES,
+    target_bytes: int | None = TARGET_FILE_BYTES, compression: str = "none",
 ) -> None:
     """Write (header, basket_no, basket_tag, raw) rows as transfer files.
 
@@ -126,11 +128,60 @@ def write_transfer(
     streams its rows into one file, however large, which needs the argument too.
     """
     rows = rows.select("header", "basket_no", "basket_tag", "raw")
+    small_batches(rows.sparkSession)
     if target_bytes is None:
-        rows.mapInArrow(_streamer(header), "value string").write.mode(mode).text(path)
+        _save(rows.mapInArrow(_streamer(header), "value string"), path, mode, compression)
         return
-    framed = rows.mapInArrow(_framer(header, target_bytes), "value string")
-    framed.write.mode(mode).option("maxRecordsPerFile", 1).text(path)
+    _save(rows.mapInArrow(_framer(header, target_bytes), "value string"), path, mode, compression, one_row=True)
+
+
+def write_grouped(rows: DataFrame, path: str, header: str, target_bytes: int, compression: str = "none") -> None:
+    """Write (basket_tag, raw) rows in any order as transfer files of about ``target_bytes`` of text.
+
+    A task holds the objects of one file, basket by basket; nothing is sorted.
+    """
+    small_batches(rows.sparkSession, target_bytes)
+    framed = rows.select("basket_tag", "raw").mapInArrow(_grouper(header, target_bytes), "value string")
+    _save(framed, path, "errorifexists", compression, one_row=True)
+
+
+def _save(texts: DataFrame, path: str, mode: str, compression: str, one_row: bool = False) -> None:
+    writer = texts.write.mode(mode).option("compression", compression).option("zlib.compress.level", "BEST_SPEED")
+    (writer.option("maxRecordsPerFile", 1) if one_row else writer).text(path)
+
+
+#: Rows that a file can grow by before its size is looked at.
+_SLICE_ROWS = 1000
+
+
+def _grouper(header: str, target_bytes: int):
+    def group(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        baskets: dict[str, list[bytes]] = {}
+        size = 0
+
+        def finished() -> pa.RecordBatch:
+            parts = [header.encode()]
+            for tag, texts in baskets.items():
+                parts += [f"{tag}\n".encode(), *texts, f"{_end_tag(tag)}\n".encode()]
+            parts.append(footer_text(header).encode())
+            return pa.RecordBatch.from_arrays([pa.array([b"".join(parts)], pa.binary()).cast(pa.string())], names=["value"])
+
+        for batch in batches:
+            for begin in range(0, batch.num_rows, _SLICE_ROWS):
+                rows = pa.Table.from_batches([batch.slice(begin, _SLICE_ROWS)]).filter(pc.field("raw").is_valid())
+                lines = pc.binary_join_element_wise(rows["raw"], "", "\n").combine_chunks()
+                tags = rows["basket_tag"].combine_chunks().dictionary_encode()
+                for number, tag in enumerate(tags.dictionary.to_pylist()):
+                    own = b"".join(lines.filter(pc.equal(tags.indices, number)).cast(pa.binary()).to_pylist())
+                    baskets.setdefault(tag, []).append(own)
+                    size += len(own)
+                if size >= target_bytes:
+                    yield finished()
+                    baskets, size = {}, 0
+        if baskets:
+            yield finished()
+
+    return group
 
 
 def _end_tag(start_tag: str) -> str:

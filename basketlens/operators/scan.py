@@ -335,14 +335,14 @@ def bag_sizes(
 
 def read_association(
     spark: SparkSession, path: str, association: str, catalog: Catalog, columns: Iterable[str] | None = None,
-    dialect: str | None = None,
+    dialect: str | None = None, objects: DataFrame | None = None,
 ) -> DataFrame:
-    """An association as (xtf_tid, xtf_bid, <role>_ref..., attributes)."""
+    """An association as (xtf_tid, xtf_bid, <role>_ref..., attributes); ``objects`` as in `scan_class`."""
     info = catalog.model.require_class(association)
     if info.kind != "ASSOCIATION":
         raise TransferError(f"not an association: {association}")
     wanted = [p.name for p in info.properties if p.is_column and (columns is None or p.name in set(columns))]
-    rows = scan_class(spark, path, association, catalog, columns=["_tid", "_bid", *wanted], dialect=dialect)
+    rows = scan_class(spark, path, association, catalog, columns=["_tid", "_bid", *wanted], dialect=dialect, objects=objects)
     names = [
         F.col(f"`{n}`").alias(f"{n}_ref" if info.property(n).value_kind == "Reference" else n) for n in wanted
     ]

@@ -21,7 +21,7 @@ from basketlens.plans.catalog import (
 )
 from basketlens.plans.shop import CUSTOMER, LINE, ORDER, PLACED, TRACK
 from basketlens.sources.files import file_digests
-from basketlens.sources.objects import V23, V24, read_objects
+from basketlens.sources.objects import V23, V24, objects_by_class, read_objects
 from basketlens.sources.parse import Parser
 from basketlens.sources.session import cut_lineage, fresh_path
 from basketlens.sources.writer import ObjectWriter
@@ -439,9 +439,15 @@ def structure_json(spark, sf_dir):
 
 # ----------------------------------------------------- associations and joins
 
-def _links(spark, sf_dir):
+def _links(spark, sf_dir, objects: DataFrame | None = None):
     return scan.read_association(
-        spark, shop.folder(spark, sf_dir, "sales"), PLACED, shop.shared_catalog(spark), dialect=V23)
+        spark, shop.folder(spark, sf_dir, "sales"), PLACED, shop.shared_catalog(spark), dialect=V23, objects=objects)
+
+
+def _sales(spark, sf_dir, *classes: str) -> DataFrame:
+    """Stored objects of several classes, cut once for all that read them."""
+    objects = read_objects(spark, shop.folder(spark, sf_dir, "sales"), shop.shared_catalog(spark).model, V23)
+    return objects_by_class(objects.filter(F.col("class_fqn").isin(*classes)))
 
 
 @query("""
@@ -463,10 +469,11 @@ def links_v24(spark, sf_dir):
     SELECT c_name AS "Name", c_mktsegment AS "Segment", o_totalprice AS "Price"
     FROM orders JOIN customer ON o_custkey = c_custkey""")
 def association_join(spark, sf_dir):
-    people = _scan(spark, sf_dir, "sales", CUSTOMER, ["_tid", "Name", "Segment"])
-    sold = _scan(spark, sf_dir, "sales", ORDER, ["_tid", "Price"])
+    objects = _sales(spark, sf_dir, CUSTOMER, ORDER, PLACED)
+    people = _scan(spark, sf_dir, "sales", CUSTOMER, ["_tid", "Name", "Segment"], objects=objects)
+    sold = _scan(spark, sf_dir, "sales", ORDER, ["_tid", "Price"], objects=objects)
     return (
-        _links(spark, sf_dir)
+        _links(spark, sf_dir, objects)
         .join(people.withColumnRenamed("_tid", "customer_ref"), "customer_ref")
         .join(sold.withColumnRenamed("_tid", "order_ref"), "order_ref")
         .select("Name", "Segment", "Price"))
@@ -477,8 +484,9 @@ def association_join(spark, sf_dir):
            o_totalprice * (CASE WHEN o_orderpriority LIKE '1%' THEN 100 ELSE 50 END) / 100 AS paid
     FROM orders""")
 def association_arith(spark, sf_dir):
-    sold = _scan(spark, sf_dir, "sales", ORDER, ["_tid", "Price"]).withColumnRenamed("_tid", "order_ref")
-    return _links(spark, sf_dir).join(sold, "order_ref").select(
+    objects = _sales(spark, sf_dir, ORDER, PLACED)
+    sold = _scan(spark, sf_dir, "sales", ORDER, ["_tid", "Price"], objects=objects).withColumnRenamed("_tid", "order_ref")
+    return _links(spark, sf_dir, objects).join(sold, "order_ref").select(
         "order_ref", (F.col("Price") * F.col("Share") / 100).alias("paid"))
 
 

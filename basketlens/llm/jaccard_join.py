@@ -7,14 +7,15 @@ chunk, so the number of differing chunks is a lower bound of the symmetric
 difference.  At a similarity of at least t, sizes differ by at most 1/t and the symmetric
 difference is at most (1 - t) / (1 + t) of both sizes together; that is the bound D.
 
-**Pigeonhole.**  Two texts within D share a chunk among the first D + 1
-of each, in any order that both use.  Chunks are ordered with common ones
+**Pigeonhole.**  Two texts within D share S + 1 chunks among the first D + S + 1
+of each, in any order that both use; S grows with the size band.  Chunks are ordered with common ones
 last, so that a passage of many texts brings no pairs.  The number of chunks is fixed within a
 size band; a text near a band's lower end also signs in the band below.  A text with no
-more filled chunks than D signs in a bucket for such texts.
+more filled chunks than D + S signs in a bucket for such texts.  Texts that share fewer buckets of a
+band with all others together leave them, so that a passage of few texts brings no pairs either.
 
 **Comparison.**  No pairs are written.  Each text joins the largest bucket it
-is in (its hub) and visits the hubs after its own that it meets elsewhere.  The texts of
+is in (its hub) and visits the hubs after its own with whose texts it shares S + 1 buckets.  The texts of
 a hub are cut into blocks by size class and hash, and pairs of
 blocks meet in separate tasks, so a hub with most of the texts is spread over many tasks and every
 possible pair is compared once.  A meeting first compares dense bit sketches, whose Hamming distance is a
@@ -32,7 +33,7 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from basketlens.llm.common import row_struct, text_of, unpacked
@@ -49,6 +50,9 @@ REPORT, ORDERED = 3, 1 << 17
 BLOCK = 1 << 17
 #: Bits that texts are looked up in before they are read again; more texts only mean that more are read in vain.
 MARKS = 1 << 24
+#: The last bits of a bucket are its band; the rest of a bucket for texts with few chunks.
+BAND_BITS = 5
+FEW = 0xFFFF0000
 
 
 def band_of(n: int) -> int:
@@ -56,6 +60,11 @@ def band_of(n: int) -> int:
     return (n.bit_length() - 1) // 2
 
 
+def spare(band: int, percent: int) -> int:
+    """S of a band: chunks signed beyond D + 1.  Small texts, and a low similarity, leave too few chunks for that."""
+    return 1 << band if band >= 2 and percent >= 75 else 0
+
+
 def chunk_hashes(shingles: np.ndarray, band: int) -> np.ndarray:
     """Parity hash of each filled chunk, with its place and band mixed in."""
     count = max(8, BAND ** (band + 1))
@@ -66,7 +75,8 @@ def chunk_hashes(shingles: np.ndarray, band: int) -> np.ndarray:
     parity = np.bitwise_xor.reduceat(value, starts)
     place = place[starts]
     filled = parity != 0
-    return mix64(parity[filled] + mix64(place[filled] * np.uint64(64) + np.uint64(band + 1)))
+    mixed = mix64(parity[filled] + mix64(place[filled] * np.uint64(64) + np.uint64(band + 1)))
+    return mixed >> np.uint64(BAND_BITS) << np.uint64(BAND_BITS) | np.uint64(band)
 
 
 def bit_sketch(shingles: np.ndarray) -> bytes:
@@ -97,9 +107,12 @@ def _signatures(shingles: np.ndarray, percent: int, common: np.ndarray, weight:
         if len(common):
             at = np.minimum(np.searchsorted(common, found), len(common) - 1)
             order = np.where(common[at] == found, weight[at], 0)
-        out.append(found[np.lexsort((found, order))[:bound + 1]])
-        if len(found) <= bound:
-            out.append(np.array([0xFFFF0000 + band], dtype=np.uint64))
+        found = found[np.lexsort((found, order))]
+        found = found[np.append(True, found[1:] != found[:-1])[:len(found)]]
+        most = bound + spare(band, percent)
+        out.append(found[:most + 1])
+        if len(found) <= most:
+            out.append(np.array([FEW << BAND_BITS | band], dtype=np.uint64))
     return np.concatenate(out) if out else shingles[:0]
 
 
@@ -181,6 +194,38 @@ def _sign(docs: DataFrame, common: tuple[np.ndarray, np.ndarray], percent: int,
     return docs.select("text").mapInArrow(run, "cls long, buckets array<long>")
 
 
+def _band() -> Column:
+    return F.col("bucket").bitwiseAND((1 << BAND_BITS) - 1).alias("band")
+
+
+def _enough(shared: Column, percent: int) -> Column:
+    """Whether a text shares enough buckets of ``band``; ``few`` tells whether one is that for texts with few chunks."""
+    needed = [F.lit(spare(b, percent) + 1) for b in range(1 << BAND_BITS)]
+    return F.col("few") | (shared >= F.get(F.array(*needed), F.col("band").cast("int")))
+
+
+def _few() -> Column:
+    return F.max(F.shiftright("bucket", BAND_BITS) == FEW).alias("few")
+
+
+def _candidates(entries: DataFrame, percent: int) -> DataFrame:
+    """``cls, hub, buckets`` of the texts that share enough buckets of a band; ``entries`` has each ``bucket, cls`` once.
+
+    What the first round removes leaves other buckets too small, which the second round finds.
+    """
+    for last in (False, True):
+        met = entries.withColumn("size", F.count("*").over(Window.partitionBy("bucket"))).filter("size > 1")
+        sides = (
+            met.repartition("cls").groupBy("cls", _band())
+            .agg(F.max(F.struct("size", "bucket")).alias("top"), _few(), F.collect_list("bucket").alias("buckets"))
+            .filter(_enough(F.size("buckets"), percent)))
+        if not last:
+            entries = cut_lineage(sides.select("cls", "buckets"), "jaccard-met").select("cls", F.explode("buckets").alias("bucket"))
+    return sides.groupBy("cls").agg(
+        F.max("top").alias("top"), F.flatten(F.collect_list("buckets")).alias("buckets")
+    ).select("cls", F.col("top.bucket").alias("hub"), "buckets")
+
+
 def _marks(classes: DataFrame) -> np.ndarray:
     """A bit for each class, at its digest's place of ``MARKS``."""
     place = F.col("cls").bitwiseAND(MARKS - 1)
@@ -314,22 +359,20 @@ def link_table(docs: DataFrame, percent: int = 80, width: int = 5) -> tuple[Data
     # One shuffle by bucket serves both what removes copies and what counts.
     entries = _sign(docs, _common_chunks(survey), percent, width).select("cls", F.explode("buckets").alias("bucket"))
     entries = entries.repartition("bucket").groupBy("bucket", "cls").agg(F.lit(1).alias("one"))
-    met = entries.withColumn("size", F.count("*").over(Window.partitionBy("bucket"))).filter("size > 1")
-    hubs = cut_lineage(
-        met.groupBy("cls").agg(F.max(F.struct("size", "bucket")).alias("top"), F.collect_list("bucket").alias("buckets"))
-        .select("cls", F.col("top.bucket").alias("hub"), "buckets"), "jaccard-hubs")
+    hubs = cut_lineage(_candidates(entries.select("bucket", "cls"), percent), "jaccard-hubs")
     return rows.select("row_key", "cls"), classes, _links(docs, hubs, classes, percent, width)
 
 
 def _links(docs: DataFrame, hubs: DataFrame, classes: DataFrame, percent: int, width: int) -> DataFrame:
-    # A text visits the hubs after its own that other members of its buckets have; most buckets know one hub only.
+    # A text visits the hubs after its own whose members share enough of its buckets; most buckets know one hub only.
     at = hubs.select("cls", "hub", F.explode("buckets").alias("bucket"))
     mixed = at.groupBy("bucket").agg(F.min("hub").alias("low"), F.max("hub").alias("high")).filter("low < high").select("bucket")
     at = cut_lineage(at.join(mixed, "bucket"), "jaccard-mixed")
     here = at.select("bucket", F.col("hub").alias("there")).distinct()
     visits = (
         at.join(here, "bucket").filter(F.col("there") > F.col("hub"))
-        .select("cls", F.col("there").alias("target")).distinct())
+        .groupBy("cls", F.col("there").alias("target"), _band()).agg(F.count("*").alias("shared"), _few())
+        .filter(_enough(F.col("shared"), percent)).select("cls", "target").distinct())
     # Size classes: linked sizes are in one class or in neighbours.
     level = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100.0 / percent)) + F.lit(1e-9)).cast("int")
     people = cut_lineage(

@@ -104,6 +104,40 @@ def test_sketch_distance_is_a_lower_bound():
         assert len(x - y) <= apart and len(y - x) <= apart
 
 
+def test_near_texts_share_spare_buckets():
+    rng = np.random.default_rng(5)
+    none = np.zeros(0, dtype=np.uint64)
+    for n in (*range(1, 40), 63, 64, 70, 250, 256, 300, 1100):
+        a = np.unique(rng.integers(0, 2**63, n).astype(np.uint64))
+        for lost in {0, n // 10, n // 5}:  # the rest is at least 80 % of both together
+            swapped = min(lost, n // 9)
+            for b in (a[lost:], np.unique(np.concatenate((a[swapped:], rng.integers(0, 2**63, swapped).astype(np.uint64))))):
+                x, y = (set(jaccard_join._signatures(s, 80, none, none).tolist()) for s in (a, b))
+                both = Counter(v & 31 for v in x & y)
+                few = any(v >> 5 == jaccard_join.FEW for v in x & y)
+                assert few or any(times > jaccard_join.spare(band, 80) for band, times in both.items())
+
+
+def test_a_passage_of_two_texts_makes_no_candidates(spark):
+    def words(i, n=200):
+        return [f"w{i}-{k}" for k in range(n)]
+
+    rows = []
+    for i in range(0, 60, 2):
+        passage = words(f"p{i}", 10)
+        rows += [(i, " ".join(words(i) + passage)), (i + 1, " ".join(passage + words(i + 1)))]
+    rows += [(100, " ".join(words("near"))), (101, " ".join(words("near")[4:]))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    none = (np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64))
+    signed = jaccard_join._sign(docs, none, 80, 5).selectExpr("explode(buckets) bucket", "cls").distinct()
+    met = signed.groupBy("bucket").agg(F.count("*").alias("size"), F.collect_list("cls").alias("met")).filter("size > 1")
+    assert met.select(F.explode("met")).distinct().count() > 10
+    found = jaccard_join._candidates(signed, 80)
+    assert found.count() == found.select("hub").distinct().count() + 1 == 2
+    got = jaccard_join.near_duplicates(docs, carry=["doc_id"]).drop("kept").collect()
+    assert {tuple(r) for r in got} == set(near_groups(rows))
+
+
 def test_no_rows(spark):
     empty = spark.createDataFrame([], SCHEMA)
     assert jaccard_join.near_duplicates(empty).count() == 0

@@ -7,7 +7,8 @@ before it is parsed.  Dialect and encoding are those of each file.  The same cut
 * Otherwise the text source cuts files into byte ranges at any tag, so one basket holding most of the data still
   spreads over many tasks.  A first scan surveys the ranges; the driver follows their changes, one small row
   for each range (as it keeps a task for each), and tells each range what is open where it begins.  The parts of an object
-  that runs over a border are put together by a grouping that sees only such parts.
+  that runs over a border are put together by a grouping that sees only such parts.  Records of the text source begin at tags that open a
+  line, as most files have few tags to a record then; if the survey has not seen every byte, as a line is too long, they begin at any tag.
 """
 
 from __future__ import annotations
@@ -16,6 +17,7 @@ import pickle
 import re
 from collections.abc import Iterator, Sequence
 from itertools import groupby
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -116,9 +118,9 @@ def read_objects(
     tags = Tags(model, dialect, prefixes)
     if largest_file(spark, path) <= whole_file_bytes:
         return objects_of_texts(whole_texts(spark, path), tags, strict)
-    states = range_states(spark, path, strict)
-    whole = _cut_ranges(spark, path, states, (cut.OBJECT,))
-    parts = _cut_ranges(spark, path, states, (cut.BEGUN, cut.CONTINUED, cut.ENDED))
+    ranges = surveyed_ranges(spark, path, strict)
+    whole = _cut_ranges(spark, path, ranges, (cut.OBJECT,))
+    parts = _cut_ranges(spark, path, ranges, (cut.BEGUN, cut.CONTINUED, cut.ENDED))
     return _named(whole.unionByName(_stitched(parts)), tags)
 
 
@@ -313,30 +315,48 @@ def _cut_files(texts: DataFrame, kinds: Sequence[str], strict: bool) -> DataFram
 
 # ---------------------------------------------------------------- large files
 
-def range_records(spark: SparkSession, path: str) -> DataFrame:
-    """(file, block, value): text between tag brackets, in order within a byte range (``block`` is where it begins).
+#: What records of ranges begin with: a tag that opens a line, of which a record holds so many bytes at most; or any tag.
+_LINES, _TAGS = "\n<", "<"
+_LINE_BYTES = 4 << 20
+_PACKED = (".gz", ".bz2", ".zst", ".lz4", ".snappy", ".deflate")
+
+
+class Ranges(NamedTuple):
+    """What is open where each range begins, as (open elements, mode, encoding) by file and block; and what records begin with."""
+
+    states: dict[tuple[str, int], tuple]
+    separator: str
+
+
+def range_records(spark: SparkSession, path: str, separator: str = _TAGS) -> DataFrame:
+    """(file, block, value): text between separators, in order within a byte range (``block`` is where it begins).
 
     A record belongs to the range its first byte lies in; the range sizes are those of the text source.  As a record is short,
-    ``file`` is the number of its file, by `file_numbers`.
+    ``file`` is the number of its file, by `file_numbers`.  The reader leaves out lines of more than ``_LINE_BYTES``, so that none is held.
     """
     small_batches(spark)
-    return spark.read.text(path, lineSep="<").select(
+    reader = spark.read
+    if separator == _LINES:
+        reader = reader.option("mapreduce.input.linerecordreader.line.maxlength", str(_LINE_BYTES))
+    return reader.text(path, lineSep=separator).select(
         F.xxhash64(F.input_file_name()).alias("file"), F.input_file_block_start().alias("block"),
         F.col("value").cast("binary").alias("value"))
 
 
-def file_numbers(spark: SparkSession, path: str) -> dict[int, str]:
-    """Names of the files by number; the listing reads no content."""
+def file_numbers(spark: SparkSession, path: str) -> dict[int, tuple[str, int]]:
+    """Name and size of the files by number; the listing reads no content."""
     listed = spark.read.format("binaryFile").load(path).select(
-        F.xxhash64(F.input_file_name()).alias("number"), F.col("_metadata.file_path").alias("name")).collect()
-    found = {r.number: r.name for r in listed}
+        F.xxhash64(F.input_file_name()).alias("number"), F.col("_metadata.file_path").alias("name"), "length").collect()
+    found = {r.number: (r.name, r.length) for r in listed}
     if len(found) < len({r.name for r in listed}):
         raise TransferError(f"two files have the same number: {path}")
     return found
 
 
-def _range_stretches(batches: Iterator[pa.RecordBatch], names: dict[int, str]) -> Iterator[tuple[tuple[str, int], bytes]]:
-    """Stretches of each range, the brackets back in front of them."""
+def _range_stretches(
+    batches: Iterator[pa.RecordBatch], names: dict[int, tuple[str, int]], separator: str
+) -> Iterator[tuple[tuple[str, int], bytes]]:
+    """Stretches of each range, the separators back in front of their records."""
     current, held, size = None, [], 0
     for batch in batches:
         blocks = batch.column(1).to_numpy()
@@ -345,16 +365,16 @@ def _range_stretches(batches: Iterator[pa.RecordBatch], names: dict[int, str]) -
         for begin, end in zip([0, *cuts.tolist()], [*cuts.tolist(), len(blocks)], strict=True):
             if begin == end:
                 continue
-            key = (names[int(numbers[begin])], int(blocks[begin]))
-            bracketed = pc.binary_join_element_wise(b"", batch.column(2).slice(begin, end - begin), b"<")
+            key = (names[int(numbers[begin])][0], int(blocks[begin]))
+            bracketed = pc.binary_join_element_wise(b"", batch.column(2).slice(begin, end - begin), separator.encode())
             first, last = np.frombuffer(bracketed.buffers()[1], np.int32)[[bracketed.offset, bracketed.offset + len(bracketed)]]
             text = bracketed.buffers()[2].slice(first, last - first).to_pybytes()
             if key != current:
                 if held:
                     yield current, b"".join(held)
-                # Only the first record of a file follows no bracket.
+                # Only the first record of a file follows no separator.
                 current, held, size = key, [], 0
-                text = text if key[1] else text[1:]
+                text = text if key[1] else text[len(separator):]
             held.append(text)
             size += len(text)
             if size >= cut.STRETCH:
@@ -364,28 +384,52 @@ def _range_stretches(batches: Iterator[pa.RecordBatch], names: dict[int, str]) -
         yield current, b"".join(held)
 
 
-def _survey(batches: Iterator[pa.RecordBatch], names: dict[int, str]) -> Iterator[pa.RecordBatch]:
-    for (file, block), group in groupby(_range_stretches(batches, names), key=lambda x: x[0]):
-        survey, head = cut.Survey(block), b""
+def _survey(batches: Iterator[pa.RecordBatch], names: dict[int, tuple[str, int]], separator: str) -> Iterator[pa.RecordBatch]:
+    for (file, block), group in groupby(_range_stretches(batches, names, separator), key=lambda x: x[0]):
+        survey, head, size = cut.Survey(block), b"", 0
         for _, text in group:
+            size += len(text)
             if not block and len(head) < 512:
                 head += text[:512]
                 text = text.removeprefix(cut.codecs.BOM_UTF8)
             survey.feed(text)
         yield pa.RecordBatch.from_pydict({
             "file": [file], "block": pa.array([block], pa.int64()), "head": pa.array([head], pa.binary()),
-            "changes": pa.array([pickle.dumps([_plain(c) for c in survey.changes.values()])], pa.binary())})
+            "changes": pa.array([pickle.dumps([_plain(c) for c in survey.changes.values()])], pa.binary()),
+            "size": pa.array([size], pa.int64())})
 
 
 def _plain(change: cut.Change) -> tuple:
     return change.closes, [tuple(o) for o in change.opens], change.mode
 
 
+def _surveyed(spark: SparkSession, path: str, names: dict[int, tuple[str, int]], separator: str) -> list:
+    shared = spark.sparkContext.broadcast(names)
+    return range_records(spark, path, separator).mapInArrow(
+        lambda batches: _survey(batches, shared.value, separator),
+        "file string, block long, head binary, changes binary, size long").collect()
+
+
+def _all_seen(found: list, names: dict[int, tuple[str, int]]) -> bool:
+    """Whether records have every byte of all files, but for a byte order mark, which the reader leaves out."""
+    sizes = dict.fromkeys((name for name, _ in names.values()), 0)
+    for row in found:
+        sizes[row.file] += row.size
+    return all(length - sizes[name] in (0, len(cut.codecs.BOM_UTF8)) for name, length in names.values())
+
+
 def range_states(spark: SparkSession, path: str, strict: bool = True) -> dict[tuple[str, int], tuple]:
-    """What is open where each range begins: (open elements, mode, encoding) by file and block."""
-    names = spark.sparkContext.broadcast(file_numbers(spark, path))
-    found = range_records(spark, path).mapInArrow(
-        lambda batches: _survey(batches, names.value), "file string, block long, head binary, changes binary").collect()
+    return surveyed_ranges(spark, path, strict).states
+
+
+def surveyed_ranges(spark: SparkSession, path: str, strict: bool = True) -> Ranges:
+    """The ranges after a scan of the whole text."""
+    names, separator, found = file_numbers(spark, path), _LINES, []
+    if not any(name.endswith(_PACKED) for name, _ in names.values()):
+        found = _surveyed(spark, path, names, separator)
+    if not found or not _all_seen(found, names):
+        separator = _TAGS
+        found = _surveyed(spark, path, names, separator)
     states = {}
     for file, group in groupby(sorted(found, key=lambda r: (r.file, r.block)), key=lambda r: r.file):
         so_far, encoding = cut.Change(0, (), cut.CONTENT), None
@@ -399,15 +443,15 @@ def range_states(spark: SparkSession, path: str, strict: bool = True) -> dict[tu
             so_far = cut.followed(so_far, cut.Change(closes, tuple(cut.Open(*o) for o in opens), mode))
         if strict and (so_far.closes or so_far.opens or so_far.mode != cut.CONTENT):
             raise TransferError(f"transfer is truncated or not well formed: {file}")
-    return states
+    return Ranges(states, separator)
 
 
-def _cut_ranges(spark: SparkSession, path: str, states: dict, kinds: Sequence[str]) -> DataFrame:
-    shared = spark.sparkContext.broadcast((states, file_numbers(spark, path)))
+def _cut_ranges(spark: SparkSession, path: str, ranges: Ranges, kinds: Sequence[str]) -> DataFrame:
+    shared, separator = spark.sparkContext.broadcast((ranges.states, file_numbers(spark, path))), ranges.separator
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out, (known, names) = _Rows(kinds), shared.value
-        for (file, block), group in groupby(_range_stretches(batches, names), key=lambda x: x[0]):
+        for (file, block), group in groupby(_range_stretches(batches, names, separator), key=lambda x: x[0]):
             opened, mode, encoding = known[file, block]
             source = cut.Cutter(block, opened, mode)
             for i, (_, text) in enumerate(group):
@@ -417,7 +461,7 @@ def _cut_ranges(spark: SparkSession, path: str, states: dict, kinds: Sequence[st
             yield from out.add(file, None, source, encoding)
         yield out.batch()
 
-    return range_records(spark, path).mapInArrow(run, _ROWS)
+    return range_records(spark, path, separator).mapInArrow(run, _ROWS)
 
 
 def _stitched(parts: DataFrame) -> DataFrame:
@@ -446,9 +490,9 @@ def read_layout(
         rows = _cut_files(whole_texts(spark, path), kinds, strict=False)
         blocks = None
     else:
-        states = range_states(spark, path, strict=False)
-        rows = _cut_ranges(spark, path, states, kinds)
-        blocks = spark.createDataFrame(list(states), "file string, block long")
+        ranges = surveyed_ranges(spark, path, strict=False)
+        rows = _cut_ranges(spark, path, ranges, kinds)
+        blocks = spark.createDataFrame(list(ranges.states), "file string, block long")
     if dialect is not None:
         rows = rows.filter(F.col("dialect") == dialect)
     starts = rows.filter(F.col("kind") == cut.BASKET).select(

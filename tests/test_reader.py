@@ -170,3 +170,27 @@ def test_files_come_in_small_batches(spark, town, write):
     sizes = ob.whole_texts(spark, path).coalesce(1).mapInArrow(
         lambda batches: (pa.RecordBatch.from_pydict({"n": [b.nbytes]}) for b in batches), "n long").collect()
     assert max(r.n for r in sizes) < 16_000_000
+
+
+def test_records_of_ranges_hold_lines(spark, town, write):
+    """Ranges of any size give the text back, with far fewer records than tags; a line that is too long is read tag by tag."""
+    body = "".join(si.obj("Owner", f"o{i}", f"<Name>n {i}</Name>") + "\n" * (i % 3) for i in range(12))
+    path = write(a=si.v23(si.plan("b", body)).replace("<Town.Plan ", "\n\n<Town.Plan "), b="\ufeff" + si.v23(si.plan("c", body)
+                 + "\n" + si.plan("d", "")))
+    whole = rows(ob.read_objects(spark, path, town.model))
+    before, most = spark.conf.get("spark.sql.files.maxPartitionBytes"), ob._LINE_BYTES
+    try:
+        for size in (50, 53, 10_000):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", str(size))
+            ranges = ob.surveyed_ranges(spark, path)
+            assert ranges.separator == "\n<"
+            assert rows(ob.read_objects(spark, path, town.model, whole_file_bytes=0)) == whole
+        assert 3 * ob.range_records(spark, path, ranges.separator).count() < ob.range_records(spark, path).count()
+        ob._LINE_BYTES = 100
+        for size in (60, 10_000):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", str(size))
+            assert ob.surveyed_ranges(spark, path).separator == "<"
+            assert rows(ob.read_objects(spark, path, town.model, whole_file_bytes=0)) == whole
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+        ob._LINE_BYTES = most

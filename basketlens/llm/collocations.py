@@ -35,6 +35,8 @@ from basketlens.sources.session import cut_lineage
 #: Candidates of a trie at most; bytes of text, and word numbers, that are worked on at once.
 SHARD = 1 << 20
 STRETCH, STRIDE = 2 << 20, 1 << 19
+#: Bytes of a row group of word numbers.  Their rows are long: a task holds a row group as one batch, however large its file is.
+GROUP = 8 << 20
 #: Bits of a symbol of a phrase trie, and symbols of a word's number (31 bits).
 DIGIT, DIGITS = 11, 3
 SCHEMA = "lang string, rank long, phrase string, a long, l long, r long, n long, score long"
@@ -312,7 +314,8 @@ def _numbers(docs: DataFrame, shards: list) -> DataFrame:
     spark, coded = docs.sparkSession, docs
     for i, load in enumerate(shards):
         shared = spark.sparkContext.broadcast(load())
-        coded = cut_lineage(coded.mapInArrow((later if i else first)(shared, i == len(shards) - 1), fields), "phrase-ids")
+        coded = cut_lineage(
+            coded.mapInArrow((later if i else first)(shared, i == len(shards) - 1), fields), "phrase-ids", GROUP)
         shared.unpersist()
     return coded.select("ids")
 

@@ -32,10 +32,19 @@ def fresh_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex[:12]}"
 
 
-def cut_lineage(df, label: str = "cut"):
-    """Write ``df`` to the shared folder and read it back (survives lost executors)."""
+def cut_lineage(df, label: str = "cut", group_bytes: int | None = None):
+    """Write ``df`` to the shared folder and read it back (survives lost executors).
+
+    ``group_bytes`` bounds the row groups: what a task holds of the file while it writes, and, where rows are long, what the reader
+    makes into one batch.
+    """
     path = fresh_path(df.sparkSession, label)
-    df.write.parquet(path)
+    writer = df.write
+    if group_bytes is not None:
+        # Sizes are looked at after each row, as a hundred long ones would be many times the bound.
+        writer = writer.option("parquet.block.size", group_bytes).option("parquet.block.size.row.check.min", 1).option(
+            "parquet.page.size.row.check.min", 1)
+    writer.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -99,3 +99,25 @@ def test_words_by_their_bytes():
     assert co.find_words(asked, names["x"], made).tolist() == [1, -1, -1, 5, -1, -1, 4, 3]
     assert co.find_words(asked, names["y"], made).tolist() == [-1] * 5 + [6, -1, -1]
     assert co.find_words(asked, None, made).tolist() == [-1] * 8
+
+
+def test_word_numbers_are_held_in_small_groups(spark, monkeypatch):
+    """However large a task's part of the text is, a row group of its word numbers is small, and so is what a reader holds of it."""
+    import glob
+
+    import pyarrow.parquet as pq
+
+    from basketlens.llm import collocations as co
+
+    monkeypatch.setattr(co, "GROUP", 1 << 20)
+    texts = [(f"{'abcd'[i % 4]} " + " ".join(f"w{(i * 7 + j * j) % 5003}" for j in range(20_000)),) for i in range(120)]
+    docs = spark.createDataFrame(texts, "text string").selectExpr("'en' AS lang", "text").coalesce(1)
+    words = [f"w{i}" for i in range(5003)]
+    import numpy as np
+    import pyarrow as pa
+
+    ids = co._numbers(docs, [lambda: co.word_trie(pa.array(["en"] * 5003), pa.array(words).cast(pa.binary()), np.arange(5003))])
+    groups = [pq.ParquetFile(f).metadata.row_group(g) for name in ids.inputFiles() for f in glob.glob(name.removeprefix("file://"))
+              for g in range(pq.ParquetFile(f).metadata.num_row_groups)]
+    assert max(g.num_rows for g in groups) <= 2 and len(groups) > 3
+    assert ids.selectExpr("sum(size(filter(ids, i -> i >= 0))) AS n").first().n == 120 * 20_000

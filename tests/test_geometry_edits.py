@@ -344,3 +344,21 @@ def test_edits_keep_the_compression_of_their_input(spark, town, write, tmp_path)
         ed.apply_edits(spark, source, out, edit_table(spark, (OWNER, "o1", "Name", "m")), town)
         assert all(r.path.endswith(end) for r in spark.read.format("binaryFile").load(out).select("path").collect())
         assert [r.Name for r in scan.scan_class(spark, out, OWNER, town).collect()] == ["m"]
+
+
+def test_listed_values_are_written_like_arrays(spark):
+    """Values that are listed one by one give the text that arrays of them give; missing ones give none."""
+    from basketlens.plans import shop
+    from basketlens.sources.writer import Structure
+
+    catalog = shop.shop_catalog(spark)
+    info, text = catalog.model.classes[shop.LINE], lambda *v: F.array_compact(F.array(*v))
+    writer = ObjectWriter(catalog.model, info, "2.3")
+    rows = spark.createDataFrame([("a<b", "1", True), (None, None, None), ("", "&", False)], "x string, y string, z boolean")
+    x, y, z, none = F.col("x"), F.col("y"), F.col("z"), F.lit(None).cast("string")
+    charge = F.struct(F.lit("Shop.Charge").alias("_tag"), text(x).alias("Kind"), text(y).alias("Amount"))
+    listed = {"Number": [y], "Flag": [x], "order": [x], "Charges": [Structure("Shop.Charge", {"Kind": [x], "Amount": [y]}, z)]}
+    arrays = {"Number": text(y), "Flag": text(x), "Charges": F.filter(F.array(F.when(z, charge)), lambda c: c.isNotNull()),
+              "order": F.filter(F.array(F.struct(x.alias("ref"), none.alias("bid"), none.alias("order"))), lambda r: r["ref"].isNotNull())}
+    found = rows.select(*(writer.object(v, F.lit("t"), none).alias(n) for n, v in (("one", listed), ("two", arrays)))).collect()
+    assert [r.one for r in found] == [r.two for r in found] and "<Charges/>" in found[1].one and "<order" not in found[1].one

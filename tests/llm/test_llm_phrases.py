@@ -119,5 +119,6 @@ def test_word_numbers_are_held_in_small_groups(spark, monkeypatch):
     ids = co._numbers(docs, [lambda: co.word_trie(pa.array(["en"] * 5003), pa.array(words).cast(pa.binary()), np.arange(5003))])
     groups = [pq.ParquetFile(f).metadata.row_group(g) for name in ids.inputFiles() for f in glob.glob(name.removeprefix("file://"))
               for g in range(pq.ParquetFile(f).metadata.num_row_groups)]
-    assert max(g.num_rows for g in groups) <= 2 and len(groups) > 3
+    # A group ends with the row that reaches the bound.
+    assert max(g.total_byte_size for g in groups) <= 2 << 20 and sum(g.total_byte_size for g in groups) > 3 << 20
     assert ids.selectExpr("sum(size(filter(ids, i -> i >= 0))) AS n").first().n == 120 * 20_000
